@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, packing, token_files
+from shardloom.llm import bpe, langid, packing, quality, syncmers, token_files
 from shardloom.llm.common import scratch_path, table
 from shardloom.llm.pretokens import vocabulary
 
@@ -16,6 +16,14 @@ def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), digest=True)
 
 
+def op3_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
     return packing.pack(pieces.drop("ids"))
@@ -27,11 +35,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(token_files.token_counts(spark, path), ["file", "document"]).select("doc_id", "n_tokens", "ended")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bpe_automaton": op2_bpe_automaton,
+        "op3_closed_syncmers": op3_closed_syncmers,
+        "op4_quality_network": op4_quality_network,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_token_counts": op8_token_counts,
+        "op10_language": op10_language,
     }
 
 
