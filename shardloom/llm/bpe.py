@@ -19,9 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shardloom.llm.common import ship
-from shardloom.llm.pretokens import END_OF_TEXT, END_OF_TEXT_ID, TextEncoder
+from shardloom.llm.pretokens import END_OF_TEXT, END_OF_TEXT_ID, TextEncoder, ragged, slices
 
 _NEVER = 1 << 30
+_STEP_BITS, _ARC_BITS = 20, 20
+_STEPS = 1 << _STEP_BITS
+
+
+def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -41,9 +47,18 @@ class Automaton:
         self.labels = [b""] * size
         for label, token in [*vocabulary.items(), *((b, a) for a, b in (extra or {}).items())]:
             self.labels[token] = label
-        self.reach: dict[bytes, int] = {}  # the longest label that starts with these (up to three) bytes
-        for label in vocabulary:
-            self.reach[label[:3]] = max(self.reach.get(label[:3], 2), len(label))
+        self.step: dict[int, int] = {}  # the labels as a trie: node and byte -> node
+        self.ends = [-1]  # the token whose label ends at a node
+        for label, token in vocabulary.items():
+            node = 0
+            for byte in label:
+                key = node << 8 | byte
+                following = self.step.get(key)
+                if following is None:
+                    following = self.step[key] = len(self.ends)
+                    self.ends.append(-1)
+                node = following
+            self.ends[node] = token
         self.left, self.right, self.made = [-1] * size, [-1] * size, [_NEVER] * size
         self.removed: dict[int, int] = {}
         self.dead = [False] * size
@@ -83,48 +98,169 @@ class Automaton:
         return known
 
     def encode(self, word: bytes) -> list[int]:
-        """The one walk whose labels spell the word. No position is reached by two walks, so one that leads nowhere is
-        left for good."""
-        ids, arcs, reach = self.ids, self._arcs, self.reach.get
-        whole = ids.get(word)
+        """The one walk whose labels spell the word. At every step the longest label that goes on and has an arc is
+        tried first. No position is reached by two walks, so one that leads nowhere is left for good."""
+        whole = self.ids.get(word)
         if whole is not None and not self.dead[whole]:
             return [whole]
-        size, at = len(word), 0
-        out, stops = [], []
+        step, ends, arcs, arc = self.step, self.ends, self._arcs.get, self.arc
+        size, at, last = len(word), 0, -1
+        out: list[int] = []
+        tries: list[list[tuple[int, int]]] = []
         barred: set[int] = set()
-        take = min(size, reach(word[:3], 2))
+        labels: list[tuple[int, int]] | None = None
         while at < size:
-            while take:
-                if at + take not in barred:
-                    token = ids.get(word[at : at + take])
-                    if token is not None and (self._enter(token) if not out else arcs[key] if (key := out[-1] << 32 | token) in arcs else self.arc(out[-1], token)):
-                        out.append(token)
-                        stops.append(take)
-                        at += take
-                        take = min(size - at, reach(word[at : at + 3], 2)) if at < size else 0
+            if labels is None:
+                labels, node, i = [], 0, at
+                while i < size:
+                    node = step.get(node << 8 | word[i])
+                    if node is None:
                         break
-                take -= 1
+                    i += 1
+                    token = ends[node]
+                    if token >= 0:
+                        labels.append((token, i))
+            while labels:
+                token, to = labels.pop()
+                if to in barred:
+                    continue
+                if last < 0:
+                    goes = not self.dead[token]
+                else:
+                    goes = arcs(last << 32 | token)
+                    if goes is None:
+                        goes = arc(last, token)
+                if goes:
+                    out.append(token)
+                    tries.append(labels)
+                    last, at, labels = token, to, None
+                    break
             else:
                 barred.add(at)
-                out.pop()
-                take = stops.pop()
-                at -= take
-                take -= 1
+                at -= len(self.labels[out.pop()])
+                labels = tries.pop()
+                last = out[-1] if out else -1
         return out
 
-    def _enter(self, token: int) -> bool:
-        return not self.dead[token]
+    def tables(self) -> None:
+        """The trie's steps as an open hash table, the next shorter label of each token, and an empty table of arcs."""
+        keys = np.fromiter(self.step, np.int64, len(self.step))
+        nodes = np.fromiter(self.step.values(), np.int32, len(self.step))
+        self.key_table, self.node_table = np.full(_STEPS, -1, np.int64), np.zeros(_STEPS, np.int32)
+        at = _slot(keys, _STEP_BITS)
+        left = np.arange(len(keys))
+        while left.size:
+            free = left[self.key_table[at[left]] < 0]
+            self.key_table[at[free]] = keys[free]  # of several that want a slot, one gets it
+            got = free[self.key_table[at[free]] == keys[free]]
+            self.node_table[at[got]] = nodes[got]
+            left = np.setdiff1d(left, got, assume_unique=True)
+            at[left] = (at[left] + 1) % _STEPS
+        self.end_table = np.array(self.ends, np.int32)
+        self.sizes = np.array([*map(len, self.labels), 0], np.int32)  # of no token: 0
+        self.shorter = np.full(len(self.labels) + 1, -1, np.int32)
+        for label, token in self.ids.items():
+            node, longest = 0, -1
+            for byte in label[:-1]:
+                node = self.step[node << 8 | byte]
+                longest = self.ends[node] if self.ends[node] >= 0 else longest
+            self.shorter[token] = longest
+        self.arc_keys, self.arc_values = np.full(1 << _ARC_BITS, -1, np.int64), np.zeros(1 << _ARC_BITS, bool)
+        self.is_dead = np.array(self.dead)
+
+    def _longest(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """For every place of the data, the longest label that starts there and ends by the end of its word."""
+        best = np.full(len(data), -1, np.int32)
+        place = np.arange(len(data))
+        node = np.zeros(len(data), np.int64)
+        ahead = 0
+        while place.size:
+            keys = node << 8 | data[place + ahead]
+            slot = _slot(keys, _STEP_BITS)
+            found = self.key_table[slot]
+            wrong = np.flatnonzero((found != keys) & (found >= 0))
+            while wrong.size:
+                slot[wrong] = (slot[wrong] + 1) % _STEPS
+                found[wrong] = self.key_table[slot[wrong]]
+                wrong = wrong[(found[wrong] != keys[wrong]) & (found[wrong] >= 0)]
+            hit = found >= 0
+            place, node = place[hit], self.node_table[slot[hit]].astype(np.int64)
+            token = self.end_table[node]
+            best[place[token >= 0]] = token[token >= 0]
+            ahead += 1
+            on = place + ahead < ends[place]
+            place, node = place[on], node[on]
+        return best
+
+    def _arcs_of(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
+        out = ~self.is_dead[token]
+        inner = np.flatnonzero(last >= 0)
+        keys = last[inner].astype(np.int64) << 32 | token[inner]
+        slot = _slot(keys, _ARC_BITS)
+        new = np.flatnonzero(self.arc_keys[slot] != keys)
+        if new.size:
+            fresh, back = np.unique(keys[new], return_inverse=True)
+            known = np.fromiter((self.arc(k >> 32, k & 0xFFFFFFFF) for k in fresh.tolist()), bool, len(fresh))[back]
+        out[inner] = self.arc_values[slot]
+        if new.size:
+            out[inner[new]] = known
+            self.arc_keys[slot[new]], self.arc_values[slot[new]] = keys[new], known
+            # two new arcs may want one slot: the value must be that of the key that stayed
+            stayed = self.arc_keys[slot[new]] == keys[new]
+            self.arc_values[slot[new[stayed]]] = known[stayed]
+        return out
+
+    def encode_many(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The walks of many words side by side. data: the words' bytes, one after another; size: bytes of each word.
+        All ids, and how many each word has; the same as encode()."""
+        if not hasattr(self, "key_table"):
+            self.tables()
+        data = data.astype(np.int64)
+        start = np.cumsum(size) - size
+        longest = self._longest(data, np.repeat(start + size, size))
+        out = np.full(len(data), -1, np.int32)
+        barred = np.zeros(len(data) + 1, bool)
+        depth_of = np.zeros(len(size), np.int64)
+        word = np.flatnonzero(size > 0)
+        begin, end, at, depth = start[word], (start + size)[word], start[word].copy(), np.zeros(len(word), np.int64)
+        last, token = np.full(len(word), -1, np.int32), longest[at]
+        while word.size:
+            to = at + self.sizes[token]
+            # a place where a word ends is where the next one begins, and is never barred
+            goes = (token >= 0) & ~(barred[to] & (to < end))
+            goes[goes] = self._arcs_of(last[goes], token[goes])
+            out[begin[goes] + depth[goes]] = token[goes]
+            stuck = token < 0
+            token = np.where(goes, -1, self.shorter[token])
+            depth[goes] += 1
+            at[goes] = to[goes]
+            last[goes] = out[begin[goes] + depth[goes] - 1]
+            open_ = goes & (at < end)
+            token[open_] = longest[at[open_]]
+            if stuck.any():
+                barred[at[stuck]] = True
+                depth[stuck] -= 1
+                back = out[begin[stuck] + depth[stuck]]
+                at[stuck] -= self.sizes[back]
+                token[stuck] = self.shorter[back]
+                last[stuck] = np.where(depth[stuck] > 0, out[begin[stuck] + depth[stuck] - 1], -1)
+            over = goes & ~open_
+            if over.any():
+                depth_of[word[over]] = depth[over]
+                keep = ~over
+                word, begin, end, at, depth, last, token = (x[keep] for x in (word, begin, end, at, depth, last, token))
+        return ragged(out, start, depth_of).astype("<u4"), depth_of
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The labels of the arcs, one after another."""
         return b"".join(map(self.labels.__getitem__, ids.tolist()))
 
 
-_loaded: dict[str, tuple[Automaton, TextEncoder]] = {}
+_loaded: dict[str, Automaton] = {}
 
 
-def load(path: str) -> tuple[Automaton, TextEncoder]:
-    """The automaton of a byte-level tokenizer file, and a text encoder over it; once a process."""
+def load(path: str) -> Automaton:
+    """The automaton of a byte-level tokenizer file; once a process."""
     if path not in _loaded:
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
@@ -134,11 +270,14 @@ def load(path: str) -> tuple[Automaton, TextEncoder]:
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
         merges = [(vocabulary[as_bytes(a)], vocabulary[as_bytes(b)]) for a, b in pairs]
         extra = {t["id"]: t["content"].encode() for t in model["added_tokens"]} or {END_OF_TEXT_ID: END_OF_TEXT.encode()}
-        automaton = Automaton(vocabulary, merges, extra)
-        _loaded[path] = automaton, TextEncoder(automaton.encode)
+        _loaded[path] = Automaton(vocabulary, merges, extra)
     return _loaded[path]
 
 
+def text_encoder(path: str, special: bool = True) -> TextEncoder:
+    return TextEncoder(load(path).encode_many, special)
+
+
 def encode_documents(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit), decoded text; or, with digest, doc_id, n_tokens and SHA-256s of both.
 
@@ -149,11 +288,10 @@ def encode_documents(docs: DataFrame, path: str, digest: bool = False) -> DataFr
     out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *([("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digest else [("ids", pa.binary()), ("decoded", pa.string())])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, encoder = load(path)
+        automaton, encoder = load(path), text_encoder(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                ids = [encoder.ids(t) for t in batch.column(1).to_pylist()]
+            for batch in slices(whole, 1):
+                ids = encoder.ids(batch.column(1))
                 # labels that are put together wrongly would not be UTF-8; as in lossy decoders they'd show as U+FFFD
                 decoded = [automaton.decode(np.frombuffer(x, "<u4")).decode("utf-8", "replace") for x in ids]
                 n = pa.array([len(x) // 4 for x in ids], pa.int64())

@@ -12,11 +12,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardloom.llm.bpe import text_encoder
 from shardloom.llm.common import materialize, ship
-from shardloom.llm.pretokens import library_encoder
+from shardloom.llm.pretokens import slices
 
 
-def piece_documents(docs: DataFrame, ranks_path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def piece_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit), ids_crc32. Each document's ids end with end_id.
 
     Documents of more than capacity ids are cut so that only the first piece may be shorter. A null or empty text has
@@ -26,13 +27,13 @@ def piece_documents(docs: DataFrame, ranks_path: str, capacity: int = 1024, end_
     out = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(ranks_path)
+        encoder = text_encoder(path)
         tail = end_id.to_bytes(4, "little")
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch, rows = whole.slice(at, 256), []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    ids = encoder.ids(text) + tail
+            for batch in slices(whole, 1):
+                rows = []
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1)), strict=True):
+                    ids += tail
                     n = len(ids) // 4
                     ends = range(n - (n - 1) // capacity * capacity, n + 1, capacity)
                     for piece, end in enumerate(ends):

@@ -25,13 +25,13 @@ def op4_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    pieces = packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return packing.pack(pieces.drop("ids"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.tiktoken"))
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return manifest.join(token_files.token_counts(spark, path), ["file", "document"]).select("doc_id", "n_tokens", "ended")
 
 

@@ -11,8 +11,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shardloom.llm.bpe import text_encoder
 from shardloom.llm.common import materialize, ship
-from shardloom.llm.pretokens import END_OF_TEXT_ID, library_encoder
+from shardloom.llm.pretokens import END_OF_TEXT_ID, slices
 
 
 def _store(uri: str):
@@ -21,7 +22,7 @@ def _store(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{os.path.abspath(uri)}")
 
 
-def write_token_files(docs: DataFrame, path: str, ranks_path: str, separator: int = END_OF_TEXT_ID, width: int = 2) -> DataFrame:
+def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, separator: int = END_OF_TEXT_ID, width: int = 2) -> DataFrame:
     """Write one flat file a task under path (a folder that all executors share) and return what went where: file,
     document (place in the file, from 0), doc_id.
 
@@ -34,7 +35,7 @@ def write_token_files(docs: DataFrame, path: str, ranks_path: str, separator: in
     out = pa.schema([("file", pa.string()), ("document", pa.int64()), ("doc_id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = library_encoder(ranks_path, special=False)
+        encoder = text_encoder(vocabulary_path, special=False)
         context = TaskContext.get()
         store, folder = _store(path)
         store.create_dir(folder, recursive=True)
@@ -44,11 +45,10 @@ def write_token_files(docs: DataFrame, path: str, ranks_path: str, separator: in
         written = 0
         sink = None
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in slices(whole, 1):
                 sink = sink or store.open_output_stream(partial)
-                for text in batch.column(1).to_pylist():
-                    sink.write(np.frombuffer(encoder.ids(text), "<u4").astype(kind).tobytes() + end)
+                for ids in encoder.ids(batch.column(1)):
+                    sink.write(np.frombuffer(ids, "<u4").astype(kind).tobytes() + end)
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(written, written + n), pa.int64()), batch.column(0).cast(pa.int64())], schema=out)
                 written += n
