@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shardloom.llm import bpe, langid, packing, quality, syncmers, token_files
+from shardloom.llm import bpe, langid, minhash, packing, quality, rules, secrets, syncmers, token_files, urls
 from shardloom.llm.common import scratch_path, table
 from shardloom.llm.pretokens import vocabulary
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), digest=True)
 
@@ -24,6 +27,14 @@ def op4_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.apply_rules(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return packing.pack(pieces.drop("ids"))
@@ -35,17 +46,25 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.join(token_files.token_counts(spark, path), ["file", "document"]).select("doc_id", "n_tokens", "ended")
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_bpe_automaton": op2_bpe_automaton,
         "op3_closed_syncmers": op3_closed_syncmers,
         "op4_quality_network": op4_quality_network,
+        "op5_quality_rules": op5_quality_rules,
+        "op6_url_filters": op6_url_filters,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_token_counts": op8_token_counts,
+        "op9_secret_scans": op9_secret_scans,
         "op10_language": op10_language,
     }
 
