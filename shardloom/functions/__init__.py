@@ -1 +1 @@
-
+"""Column functions: binary frame records, times, names and overlay texts."""

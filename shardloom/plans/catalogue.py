@@ -1,22 +1,435 @@
-"""Queries over the driver's tables, each with its SQL."""
+"""Queries over the driver's tables, each with its SQL.
+
+Recordings are sessions of events: a user is a camera, eight idle hours end a fragment, a day without one is a gap.
+Binary records and overlay texts are made from events, so that what is read can be held against what was written.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shardloom.session import table
+from shardloom.functions import binary as B
+from shardloom.functions import text as T
+from shardloom.operators import carve, gaps, noise, order, overlay, similarity
+from shardloom.session import materialize, table
+from shardloom.sources import files
+
+HOUR = 3_600_000_000
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def put(f):
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+# ---- events as records and fragments
+
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    us = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz))")
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", us.alias("us"))
 
+
+def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user_id, chunk (from 1), key, first_us, last_us, n."""
+    by = Window.partitionBy("user_id").orderBy("us", "event_id")
+    marked = _events(spark, sf_dir).withColumn("_new", F.coalesce((F.col("us") - F.lag("us").over(by) > 8 * HOUR).cast("int"), F.lit(1)))
+    numbered = marked.withColumn("chunk", F.sum("_new").over(by).cast("long"))
+    grouped = numbered.groupBy("user_id", "chunk").agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"), F.count(F.lit(1)).alias("n"))
+    return grouped.withColumn("key", F.format_string("cam%05d_chunk_%06d.dat", "user_id", "chunk"))
+
+
+_EVENTS_SQL = "ev AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events)"
+_SESSIONS_SQL = f"""{_EVENTS_SQL}, mk AS (SELECT *, CASE WHEN us - lag(us) OVER w > 28800000000 OR lag(us) OVER w IS NULL THEN 1 ELSE 0 END AS n1 FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)),
+ nm AS (SELECT *, sum(n1) OVER (PARTITION BY user_id ORDER BY us, event_id) AS chunk FROM mk),
+ ses AS (SELECT user_id, CAST(chunk AS BIGINT) AS chunk, min(us) AS first_us, max(us) AS last_us, count(*) AS n, printf('cam%05d_chunk_%06d.dat', user_id, CAST(chunk AS BIGINT)) AS key FROM nm GROUP BY user_id, chunk)"""
+_GAPS_SQL = f"""{_SESSIONS_SQL}, gp AS (SELECT user_id, chunk, key AS after_key, last_us AS open_us, lead(first_us) OVER w AS close_us, lead(key) OVER w AS before_key FROM ses WINDOW w AS (PARTITION BY user_id ORDER BY chunk)),
+ gaps AS (SELECT *, close_us - open_us AS gap_us FROM gp WHERE close_us - open_us > 86400000000)"""
+
+
+def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = gaps.detect_gaps(_sessions(spark, sf_dir), ["user_id"], ["chunk", "key"], "first_us", "last_us", 24 * HOUR)
+    return found.select("user_id", F.col("after_key.chunk").alias("chunk"), F.col("after_key.key").alias("after_key"), F.col("before_key.key").alias("before_key"), "open_us", "close_us", "gap_us")
+
+
+@query(f"WITH {_GAPS_SQL} SELECT user_id, chunk, after_key, before_key, open_us, close_us, gap_us FROM gaps")
 def gap_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Gaps between the fragments of each camera."""
+    return _gaps(spark, sf_dir)
+
+
+def _le64(us: Column) -> Column:
+    text = F.lpad(F.hex(us), 16, "0")
+    return F.unhex(F.concat(*[F.substring(text, 1 + 2 * k, 2) for k in range(7, -1, -1)]))
+
+
+def _record(kind: Column, us: Column) -> Column:
+    marker = F.when(kind == 0, F.lit(B.MARKER_A)).otherwise(F.lit(B.MARKER_B))
+    return F.concat(marker, F.lit(b"\xaa" * 8), _le64(us))
+
+
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's bytes: filler, a record of its time, a record a second later, one of a time out of range, and a
+    marker that is cut short."""
+    kind = F.pmod("event_id", F.lit(2))
+    content = F.concat(F.lit(b"\x33" * 5), _record(kind, F.col("us")), F.lit(b"\x22\x22"), _record(1 - kind, F.col("us") + 1_000_000), _record(kind, F.lit(5).cast("long")), F.lit(B.MARKER_B + b"ab"))
+    return _events(spark, sf_dir).select("event_id", "user_id", "us", content.alias("content"))
+
+
+@query(f"""WITH {_EVENTS_SQL} SELECT event_id, 4::BIGINT AS n_markers, 2::BIGINT AS n_records, us AS first_us, us + 1000000 AS last_us, us + 1000000 AS middle_us, us AS least_us, us + 1000000 AS most_us FROM ev""")
+def dat_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers and times in binary values, by all four ways to choose a time."""
+    rows = _payloads(spark, sf_dir).select("event_id", B.records(F.col("content")).alias("r"), F.size(B.marker_positions(F.col("content"))).cast("long").alias("n_markers"))
+    return rows.select("event_id", "n_markers", F.size("r").cast("long").alias("n_records"), B.first_time(F.col("r")).alias("first_us"), B.last_time(F.col("r")).alias("last_us"), B.middle_time(F.col("r")).alias("middle_us"), B.least_time(F.col("r")).alias("least_us"), B.most_time(F.col("r")).alias("most_us"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'h264' ELSE 'h265' END AS codec, CASE WHEN event_id % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS h264, CASE WHEN event_id % 2 = 0 THEN 2 ELSE 3 END::BIGINT AS h265 FROM events")
+def codec_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codec by counts of markers; a tie is h264."""
+    count = lambda m: F.size(B.marker_positions(F.col("content"), (m,))).cast("long")
+    rows = _payloads(spark, sf_dir).select("event_id", count(B.MARKER_A).alias("h264"), count(B.MARKER_B).alias("h265"))
+    return rows.select("event_id", B.codec_of(F.col("h264"), F.col("h265")).alias("codec"), "h264", "h265")
+
+
+@query(f"""WITH {_EVENTS_SQL} SELECT user_id, us AS middle_us, n::BIGINT AS n FROM (SELECT user_id, us, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM ev) WHERE i = n // 2""")
+def positional_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the middle time by place."""
+    by = Window.partitionBy("user_id")
+    rows = _events(spark, sf_dir).withColumns({"i": F.row_number().over(by.orderBy("event_id")) - 1, "n": F.count(F.lit(1)).over(by)})
+    return rows.filter(F.col("i") == F.floor(F.col("n") / 2)).select("user_id", F.col("us").alias("middle_us"), "n")
+
+
+_CLASSIFY_SQL = f"""WITH {_EVENTS_SQL}, b AS (SELECT (min(us) + max(us)) // 2 AS boundary FROM ev),
+ t AS (SELECT user_id, list(us ORDER BY event_id) AS ts FROM ev GROUP BY user_id)
+ SELECT user_id, CASE WHEN ts[len(ts) // 2 + 1] >= boundary THEN 'new' ELSE 'old' END AS category, len(ts)::BIGINT AS ts_count, len(list_filter(ts, lambda x: x >= boundary))::BIGINT AS ts_in_new,
+ round(len(list_filter(ts, lambda x: x >= boundary))::DOUBLE / len(ts), 6) AS ts_ratio, ts[1] AS first_us, ts[len(ts) // 2 + 1] AS median_us FROM t, b"""
+
+
+@query(_CLASSIFY_SQL)
+def classify_old_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old and new by the middle time against a boundary."""
+    events = _events(spark, sf_dir)
+    boundary = events.agg(F.expr("(min(us) + max(us)) div 2").alias("boundary"))
+    times = events.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "us"))), lambda x: x["us"]).alias("ts"))
+    rows = times.join(F.broadcast(boundary)).select("user_id", carve.classified(F.col("ts"), F.col("boundary")).alias("c"))
+    return rows.select("user_id", "c.category", "c.ts_count", "c.ts_in_new", F.round("c.ts_ratio", 6).alias("ts_ratio"), "c.first_us", "c.median_us")
+
+
+@query(f"""WITH {_EVENTS_SQL}, s AS (SELECT user_id, event_id, abs(us / 1e6 - lag(us / 1e6) OVER (PARTITION BY user_id ORDER BY event_id)) AS step, count(*) OVER (PARTITION BY user_id) AS n FROM ev),
+ r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY step DESC, event_id) AS rn FROM s WHERE step IS NOT NULL AND n >= 4) SELECT user_id, event_id AS split_at, round(step, 3) AS step_s FROM r WHERE rn = 1 AND step >= 2.0""")
+def largest_gap_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the largest step in time is, the first of equal ones."""
+    by = Window.partitionBy("user_id").orderBy("event_id")
+    s = F.col("us") / 1e6
+    steps = _events(spark, sf_dir).select("user_id", "event_id", F.abs(s - F.lag(s).over(by)).alias("step"), F.count(F.lit(1)).over(Window.partitionBy("user_id")).alias("n"))
+    best = steps.filter("step is not null and n >= 4").groupBy("user_id").agg(F.max(F.struct("step", -F.col("event_id"))).alias("m"))
+    return best.filter("m.step >= 2.0").select("user_id", (-F.col("m.col2")).alias("split_at"), F.round("m.step", 3).alias("step_s"))
+
+
+@query("""SELECT 'old' AS category, count(*) FILTER (o_orderstatus = 'F')::BIGINT AS chunks, coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)) FILTER (o_orderstatus = 'F'), 0)::BIGINT AS bytes FROM orders
+ UNION ALL SELECT 'new', count(*) FILTER (o_orderstatus = 'O')::BIGINT, coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)) FILTER (o_orderstatus = 'O'), 0)::BIGINT FROM orders
+ UNION ALL SELECT 'unknown', count(*) FILTER (o_orderstatus = 'P')::BIGINT, coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)) FILTER (o_orderstatus = 'P'), 0)::BIGINT FROM orders UNION ALL SELECT 'unclassified', 0, 0""")
+def category_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: counts and bytes by category, categories without rows included."""
+    category = F.when(F.col("o_orderstatus") == "F", "old").when(F.col("o_orderstatus") == "O", "new").otherwise("unknown")
+    rows = table(spark, sf_dir, "orders").select(category.alias("category"), F.lit(0).cast("long").alias("abs_start"), F.floor("o_totalprice").cast("long").alias("abs_end"))
+    return carve.category_totals(rows)
+
+
+@query("SELECT user_id, event_id % 1000 AS index, 20480 + 64 + 16 * (event_id % 1000) AS abs_offset, epoch_us(ts) // 1000000 AS start_time, event_id % 65536 AS group_num FROM events")
+def block_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header entries with times, from bytes."""
+    le = lambda v, n: F.unhex(F.concat(*[F.substring(F.lpad(F.hex(v), 2 * n, "0"), 1 + 2 * k, 2) for k in range(n - 1, -1, -1)]))
+    entry = F.concat(F.lit(b"\0" * 4), le(F.floor(F.col("us") / 1_000_000), 4), F.lit(b"\0" * 4), le(F.pmod("event_id", F.lit(65536)), 2), F.lit(b"\0" * 2))
+    rows = _events(spark, sf_dir).select("user_id", F.pmod("event_id", F.lit(1000)).alias("index"), entry.alias("e"))
+    at = F.col("index") * carve.ENTRY_SIZE + carve.ENTRIES_AT + carve.HEADER_AT
+    return rows.select("user_id", "index", at.alias("abs_offset"), B.u32_le(F.col("e"), F.lit(4)).alias("start_time"), B.u16_le(F.col("e"), F.lit(12)).alias("group_num")).filter(B.plausible_seconds(F.col("start_time")))
+
+
+# ---- gaps and fillers
+
+
+def _fills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spare fragments: another camera's fragments, moved to this one."""
+    ses = _sessions(spark, sf_dir)
+    return ses.select((F.col("user_id") + 1).alias("user_id"), F.concat(F.lit("fill_"), "key").alias("key"), "first_us", "last_us")
+
+
+_FILLS_SQL = f"{_GAPS_SQL}, fills AS (SELECT user_id + 1 AS user_id, 'fill_' || key AS key, first_us, last_us FROM ses)"
+
+
+@query(f"WITH {_FILLS_SQL} SELECT g.user_id, g.chunk, f.key, g.gap_us FROM gaps g JOIN fills f ON g.user_id = f.user_id AND f.last_us > g.open_us - 3600000000 AND f.first_us < g.close_us + 3600000000 AND f.last_us > f.first_us")
+def interval_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spare fragments that overlap each gap."""
+    found = gaps.interval_candidates(_gaps(spark, sf_dir), _fills(spark, sf_dir), ["user_id"], HOUR, 24 * HOUR)
+    return found.select("user_id", "chunk", "key", "gap_us")
+
+
+@query(f"""WITH {_SESSIONS_SQL} SELECT p.user_id, p.key AS prev, n.key AS next FROM ses p JOIN ses n ON p.user_id = n.user_id AND n.first_us > p.first_us AND abs(n.first_us - p.last_us) <= 43200000000 AND n.last_us > p.last_us AND p.last_us > p.first_us AND n.last_us > n.first_us""")
+def chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fragments can follow which."""
+    return gaps.chain_edges(_sessions(spark, sf_dir), ["user_id"], "key", 12 * HOUR)
+
+
+@query(f"""WITH {_FILLS_SQL} SELECT g.user_id, g.chunk, f.key, round(CASE WHEN close_us <= open_us THEN 1.0 ELSE greatest(0.0, (least(f.last_us, close_us) - greatest(f.first_us, open_us))::DOUBLE / (close_us - open_us)) END, 6) AS coverage,
+ round(greatest(0, f.first_us - open_us) / 1e6, 6) AS missing_before, round(greatest(0, close_us - f.last_us) / 1e6, 6) AS missing_after, round(greatest(0, open_us - f.first_us) / 1e6, 6) AS overhang_before, round(greatest(0, f.last_us - close_us) / 1e6, 6) AS overhang_after
+ FROM gaps g JOIN fills f ON g.user_id = f.user_id AND f.last_us > g.open_us - 3600000000 AND f.first_us < g.close_us + 3600000000 AND f.last_us > f.first_us""")
+def chain_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What chains of one fragment cover, lack and have too much."""
+    found = gaps.interval_candidates(_gaps(spark, sf_dir), _fills(spark, sf_dir), ["user_id"], HOUR, 24 * HOUR)
+    rows = found.withColumn("s", gaps.chain_stats(F.array(F.struct("first_us", "last_us")), F.col("open_us"), F.col("close_us"), HOUR))
+    return rows.select("user_id", "chunk", "key", *[F.round(f"s.{c}", 6).alias(c) for c in ("coverage", "missing_before", "missing_after", "overhang_before", "overhang_after")])
+
+
+def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _gaps(spark, sf_dir).select("user_id", F.col("chunk").alias("gap_id"), F.col("after_key").alias("after"), "open_us", "close_us", "gap_us")
+    return gaps.match_fillers(rows, _fills(spark, sf_dir), ["user_id"], gaps.GapConfig(tolerance_s=6 * 3600.0, least_coverage=0.3))
+
+
+@query()
+def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best chain for each gap, spare fragments used once."""
+    rows = _matched(spark, sf_dir)
+    first, last = F.array_min(F.transform("fillers", lambda f: f["first_us"])), F.array_max(F.transform("fillers", lambda f: f["last_us"]))
+    status = T.gap_status(F.size("fillers"), F.col("partial"), F.col("coverage"), (first - F.col("open_us")) / 1e6, (F.col("close_us") - last) / 1e6)
+    return rows.select("user_id", "gap_id", F.transform("fillers", lambda f: f["key"]).alias("fillers"), "partial", F.round("coverage", 6).alias("coverage"), status.alias("status"))
+
+
+@query()
+def gap_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps by outcome, for each camera."""
+    return gaps.gap_summary(_matched(spark, sf_dir), ["user_id"])
+
+
+@query(f"""WITH {_GAPS_SQL}, one AS (SELECT user_id, after_key, 'fill_' || after_key AS key, open_us + 1 AS first_us FROM gaps),
+ al AS (SELECT user_id, chunk, 0 AS s, key, 'baseline' AS source FROM ses UNION ALL SELECT o.user_id, s.chunk, 1, o.key, 'fill' FROM one o JOIN ses s ON s.user_id = o.user_id AND s.key = o.after_key),
+ nu AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY chunk, s) AS seq, count(*) OVER (PARTITION BY user_id) AS n FROM al)
+ SELECT user_id, seq::BIGINT AS seq, lpad(seq::VARCHAR, length(n::VARCHAR)::INT, '0') AS number, key, source FROM nu""")
+def merged_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments with one filler behind each gap's start, numbered."""
+    filler = F.array(F.struct(F.concat(F.lit("fill_"), "after_key").alias("key"), (F.col("open_us") + 1).alias("first_us"), F.col("close_us").alias("last_us")))
+    matched = _gaps(spark, sf_dir).select("user_id", F.col("after_key").alias("after"), filler.alias("fillers"))
+    return gaps.merged_sequence(_sessions(spark, sf_dir), matched, ["user_id"], "chunk", "key")
+
+
+@query(f"WITH {_SESSIONS_SQL} SELECT user_id, arg_min(first_us, chunk) AS from_us, arg_max(last_us, chunk) AS to_us, arg_max(last_us, chunk) - arg_min(first_us, chunk) AS span_us FROM ses GROUP BY user_id")
+def sequence_span(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the first fragment's start to the last one's end, in order."""
+    return gaps.sequence_span(_sessions(spark, sf_dir), ["user_id"], "chunk")
+
+
+# ---- overlays
+
+
+def _overlay_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two texts an event: a label, misread in known ways, and a date and time."""
+    e = _events(spark, sf_dir)
+    number = F.pmod("event_id", F.lit(13))
+    label = F.when(F.pmod("event_id", F.lit(5)) == 0, F.format_string("camO%d x", number)).when(F.pmod("event_id", F.lit(5)) == 1, F.format_string("CAM%02d", number)).when(F.pmod("event_id", F.lit(5)) == 2, F.format_string("CAM|%d", number)).otherwise(F.format_string(" cam0%d,", number))
+    date = F.date_format(F.timestamp_micros("us"), "yyyy/MM/dd  HH:mm:ss")
+    return e.select("event_id", "user_id", "us", F.array(label, F.when(F.pmod("event_id", F.lit(7)) == 0, "2024/02/30 01:02:03").otherwise(date)).alias("texts"))
+
+
+_LABEL_SQL = "CASE WHEN event_id % 5 IN (0, 3, 4) THEN printf('CAM%02d', event_id % 13) WHEN event_id % 5 = 1 AND event_id % 13 < 10 THEN printf('CAM%02d', event_id % 13) END"
+
+
+@query(f"SELECT event_id, {_LABEL_SQL} AS label FROM events")
+def ocr_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """channel labels in overlay texts."""
+    return _overlay_texts(spark, sf_dir).select("event_id", T.channel_label(F.col("texts")).alias("label"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN epoch_us(ts) // 1000000 END AS seconds FROM events")
+def ocr_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dates and times in overlay texts; one that isn't on the calendar is none."""
+    return _overlay_texts(spark, sf_dir).select("event_id", F.unix_seconds(T.overlay_time(F.col("texts"))).alias("seconds"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 11 = 0 AND event_id % 7 = 0 THEN 'no datetime found' WHEN event_id % 11 = 0 THEN 'OCR only - no DAT reference' WHEN event_id % 7 = 0 THEN 'DAT only - OCR datetime missing'
+ WHEN abs(epoch_us(ts) + (event_id % 100) * 1000000 - epoch_us(ts) // 1000000 * 1000000) <= 10000000 THEN 'PASS - DAT and OCR agree' WHEN abs(epoch_us(ts) + (event_id % 100) * 1000000 - epoch_us(ts) // 1000000 * 1000000) <= 60000000 THEN 'CHECK - DAT and OCR close' ELSE 'REVIEW - DAT/OCR mismatch' END AS status FROM events""")
+def ts_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records' times against overlay times."""
+    rows = _overlay_texts(spark, sf_dir)
+    record = F.when(F.pmod("event_id", F.lit(11)) != 0, F.col("us") + F.pmod("event_id", F.lit(100)) * 1_000_000)
+    return rows.select("event_id", T.time_check(record, F.unix_micros(T.overlay_time(F.col("texts")))).alias("status"))
+
+
+def _attributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _overlay_texts(spark, sf_dir)
+    name = F.format_string("/clips/clip_%d.dat", "event_id")
+    results = rows.select(name.alias("path"), F.posexplode("texts").alias("candidate", "t")).select("path", "candidate", F.to_json(F.struct(F.struct(F.array(F.struct(F.col("t").alias("block_content"))).alias("parsing_res_list")).alias("res"))).alias("result"))
+    clips = rows.select(name.alias("path"), F.col("event_id").alias("seq"), F.col("us").alias("dat_us"), F.lit(None).cast("string").alias("error"))
+    return overlay.attribute(clips, overlay.candidate_readings(results))
+
+
+_ATTRIBUTED_SQL = f"""att AS (SELECT event_id AS seq, printf('/clips/clip_%d.dat', event_id) AS path, {_LABEL_SQL} AS label, CASE WHEN event_id % 7 <> 0 THEN epoch_us(ts) // 1000000 END AS sec, epoch_us(ts) AS us FROM events),
+ ch AS (SELECT *, CASE WHEN label IS NOT NULL AND sec IS NOT NULL THEN label ELSE 'unknown_channel' END AS channel FROM att)"""
+
+
+@query(f"""WITH {_ATTRIBUTED_SQL} SELECT path, seq, channel, label IS NOT NULL AS ocr_detected, sec IS NOT NULL AS datetime_detected, round((us - sec * 1000000) / 1e6, 6) AS timestamp_diff_seconds,
+ CASE WHEN label IS NOT NULL AND sec IS NOT NULL THEN 'YES' WHEN label IS NOT NULL OR sec IS NOT NULL THEN 'PARTIAL' ELSE 'ALT' END AS row_state FROM ch""")
+def overlay_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips attributed from recognition results."""
+    return _attributed(spark, sf_dir).select("path", "seq", "channel", "ocr_detected", "datetime_detected", F.round("timestamp_diff_seconds", 6).alias("timestamp_diff_seconds"), "row_state")
+
+
+@query(f"""WITH {_ATTRIBUTED_SQL}, n AS (SELECT count(*) AS total FROM ch) SELECT channel, count(*)::BIGINT AS clips, round(100.0 * count(*) / max(total), 6) AS share FROM ch, n GROUP BY channel UNION ALL SELECT 'TOTAL', total, 100.0 FROM n""")
+def channel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips and share of each channel, and a total."""
+    return overlay.channel_summary(_attributed(spark, sf_dir))
+
+
+@query(f"""WITH {_ATTRIBUTED_SQL} SELECT count(*)::BIGINT AS total, count(*)::BIGINT AS ok, 0::BIGINT AS failed, count(label)::BIGINT AS labels, count(sec)::BIGINT AS times, count(*) FILTER (channel = 'unknown_channel')::BIGINT AS unknown, round(count(label)::DOUBLE / count(*), 6) AS detection_rate FROM ch""")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of a run."""
+    return overlay.run_metrics(_attributed(spark, sf_dir)).withColumn("detection_rate", F.round("detection_rate", 6))
+
+
+@query(f"""WITH {_ATTRIBUTED_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY CASE WHEN channel = 'unknown_channel' THEN seq ELSE sec END NULLS LAST, seq) AS n FROM ch)
+ SELECT path AS src, '/out/' || channel || '/' || CASE WHEN n > 9999 THEN n::VARCHAR ELSE lpad(n::VARCHAR, 4, '0') END || printf('_clip_%d.dat', seq) AS dst FROM o""")
+def order_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each clip goes."""
+    return overlay.order_plan(_attributed(spark, sf_dir), "/out")
+
+
+# ---- names
+
+
+@query("""SELECT c_custkey, row_number() OVER (ORDER BY c_custkey // 10, printf('n%d', c_custkey % 10), c_custkey) AS place FROM customer""")
+def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in natural order."""
+    named = table(spark, sf_dir, "customer").select("c_custkey", F.format_string("C%dn%d.dat", F.floor(F.col("c_custkey") / 10), F.pmod("c_custkey", F.lit(10))).alias("name"))
+    return order.natural_order(named, "name").select("c_custkey", "place")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 2 THEN c_custkey + 7 ELSE c_custkey END AS number FROM customer")
+def chunk_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers in file names."""
+    k = F.col("c_custkey")
+    path = F.when(k % 3 == 0, F.format_string("/a/9_Chunk_%d_5.dat", k)).when(k % 3 == 1, F.format_string("/a/chunk-%d.dat", k)).otherwise(F.format_string("/a/part4_%d_x.dat", k + 7))
+    return table(spark, sf_dir, "customer").select("c_custkey", T.chunk_number(path).alias("number"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN '-' ELSE strftime(make_timestamp(o_orderkey * 1000000), '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS iso,
+ CASE WHEN o_orderkey >= 3600 THEN printf('%dh %dm %.1fs', o_orderkey // 3600, o_orderkey % 3600 // 60, (o_orderkey % 60)::DOUBLE) WHEN o_orderkey >= 60 THEN printf('%dm %.1fs', o_orderkey // 60, (o_orderkey % 60)::DOUBLE) ELSE printf('%.3fs', o_orderkey::DOUBLE) END AS duration, printf('0x%X', o_orderkey) AS hex FROM orders""")
+def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """times, durations and offsets as texts."""
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.iso_time(F.when(k % 17 != 0, k * 1_000_000)).alias("iso"), T.report_duration(k.cast("double")).alias("duration"), B.hex_offset(k).alias("hex"))
+
+
+@query("SELECT doc_id, sha1(doc_id::VARCHAR) AS key FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def cache_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips that the cache doesn't have."""
+    clips = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("path"))
+    cache = table(spark, sf_dir, "labels").select(files.cache_key(F.col("doc_id").cast("string")).alias("key"))
+    return files.not_cached(clips, cache).select("doc_id", "key")
+
+
+# ---- similarity
+
+
+def _prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    confidence = 0.1 + 0.1 * F.pmod("vec_id", F.lit(7))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), confidence.alias("confidence"), "label")
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _prints(spark, sf_dir).select("id", F.col("label").cast("int").alias("cluster"))
+
+
+def _k(spark: SparkSession, sf_dir: str) -> int:
+    return (_labels(spark, sf_dir).agg(F.max("cluster")).first()[0] or 0) + 1
+
+
+_UNIT_SQL = "v AS (SELECT vec_id AS id, label AS cluster, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS u, least(1, (0.1 + 0.1 * (vec_id % 7)) / 0.35) AS a FROM embeddings)"
+_SIM_SQL = f"{_UNIT_SQL}, e AS (SELECT x.id AS i, y.id AS j, x.cluster AS ci, y.cluster AS cj, x.a * y.a * (greatest(-1, least(1, list_dot_product(x.u, y.u))) + 1) / 2 + 0.25 * (1 - x.a * y.a) AS sim FROM v x JOIN v y ON x.id < y.id)"
+
+
+@query(f"WITH {_SIM_SQL} SELECT i, j, round(sim, 6) AS sim FROM e")
+def ncc_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damped similarity of all pairs."""
+    return similarity.similarity_edges(_prints(spark, sf_dir)).select("i", "j", F.round("sim", 6).alias("sim"))
+
+
+@query(f"""WITH {_EVENTS_SQL}, m AS (SELECT event_id, user_id, value, median(value) OVER (PARTITION BY user_id) AS md FROM ev), d AS (SELECT *, median(abs(value - md)) OVER (PARTITION BY user_id) AS mad, count(*) OVER (PARTITION BY user_id) AS n FROM m)
+ SELECT event_id, user_id FROM d WHERE n < 3 OR mad <= 1e-12 OR abs(value - md) <= 2.5 * mad""")
+def mad_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: values within so many median deviations."""
+    return noise.accepted_by_mad(_events(spark, sf_dir), ["user_id"], "value").select("event_id", "user_id")
+
+
+@query(f"WITH {_UNIT_SQL} SELECT x.cluster AS label, round((avg(list_dot_product(x.u, y.u)) + 1) / 2, 6) AS confidence FROM v x JOIN v y ON x.cluster = y.cluster AND x.id < y.id GROUP BY x.cluster")
+def confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean cosine of all pairs of a group, from sums."""
+    return noise.confidence(_prints(spark, sf_dir), ["label"], "vec").select("label", F.round("confidence", 6).alias("confidence"))
+
+
+@query(f"""WITH {_SIM_SQL}, s AS (SELECT i, cj AS c, greatest(0, 1 - sim) AS d, ci AS own FROM e UNION ALL SELECT j, ci, greatest(0, 1 - sim), cj FROM e), sz AS (SELECT cluster, count(*) AS n FROM v GROUP BY cluster),
+ p AS (SELECT i, own, c, sum(d) AS t FROM s GROUP BY i, own, c), q AS (SELECT p.i, max(CASE WHEN c = own THEN t / (n - 1) END) AS a, min(CASE WHEN c <> own THEN t / n END) AS b FROM p JOIN sz ON sz.cluster = p.c GROUP BY p.i)
+ SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM q""")
+def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean silhouette of given labels."""
+    edges = materialize(similarity.similarity_edges(_prints(spark, sf_dir)), "edges")
+    return similarity.silhouette(edges, _labels(spark, sf_dir)).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@query(f"WITH {_SIM_SQL}, sz AS (SELECT cluster, count(*) AS n FROM v GROUP BY cluster HAVING count(*) >= 2) SELECT sz.cluster::INT AS cluster, round(1 - (2 * sum(sim) + max(n)) / (max(n) * max(n)), 6) AS spread FROM e JOIN sz ON ci = sz.cluster AND cj = sz.cluster GROUP BY sz.cluster")
+def compactness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far clusters spread."""
+    return similarity.compactness(similarity.similarity_edges(_prints(spark, sf_dir)), _labels(spark, sf_dir)).select("cluster", F.round("spread", 6).alias("spread"))
+
+
+_CENTERS_SQL = f"""{_UNIT_SQL}, ex AS (SELECT cluster, unnest(u) AS x, generate_subscripts(u, 1) AS d FROM v), mn AS (SELECT cluster, d, avg(x) AS m FROM ex GROUP BY cluster, d),
+ nr AS (SELECT cluster, sqrt(sum(m * m)) AS nm FROM mn GROUP BY cluster), ct AS (SELECT mn.cluster, d, m / CASE WHEN nm < 1e-10 THEN 1 ELSE nm END AS c FROM mn JOIN nr ON mn.cluster = nr.cluster), cv AS (SELECT cluster, list(c ORDER BY d) AS vec FROM ct GROUP BY cluster)"""
+
+
+@query(f"WITH {_CENTERS_SQL} SELECT cluster::INT AS cluster, (d - 1)::BIGINT AS d, round(c, 6) AS v FROM ct")
+def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit means of clusters."""
+    found = similarity.centroids(_prints(spark, sf_dir), _labels(spark, sf_dir), _k(spark, sf_dir))
+    return found.select("cluster", F.posexplode("vec").alias("d", "v")).select("cluster", F.col("d").cast("long").alias("d"), F.round("v", 6).alias("v"))
+
+
+@query(f"WITH {_CENTERS_SQL}, sc AS (SELECT v.id, cv.cluster, list_dot_product(v.u, cv.vec) AS s FROM v, cv), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, cluster) AS n FROM sc) SELECT id, cluster::INT AS cluster FROM r WHERE n = 1")
+def assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest centre of each vector."""
+    prints, labels = _prints(spark, sf_dir), _labels(spark, sf_dir)
+    return similarity.assign(prints, similarity.centroids(prints, labels, _k(spark, sf_dir)))
+
+
+_ALONE_SQL = _CENTERS_SQL.replace("label AS cluster", "CASE WHEN vec_id = 0 THEN 99 ELSE label END AS cluster")
+
+
+@query(f"""WITH {_ALONE_SQL}, one AS (SELECT min(id) AS id, cluster FROM v GROUP BY cluster HAVING count(*) = 1), sc AS (SELECT one.id, cv.cluster, list_dot_product(v.u, cv.vec) AS s FROM one JOIN v ON v.id = one.id JOIN cv ON cv.cluster <> one.cluster),
+ r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, cluster) AS n FROM sc) SELECT v.id, coalesce(r.cluster, v.cluster)::INT AS cluster FROM v LEFT JOIN r ON r.id = v.id AND r.n = 1""")
+def singleton_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The only member of a cluster goes to the best other one."""
+    prints = _prints(spark, sf_dir)
+    labels = prints.select("id", F.when(F.col("id") == 0, 99).otherwise(F.col("label")).cast("int").alias("cluster"))
+    known = similarity.centroids(prints, labels, 100).join(labels.select("cluster").distinct(), "cluster", "left_semi")
+    return similarity.merge_singletons(prints, labels, known)
+
+
+@query()
+def cluster_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels refined from the given ones."""
+    return similarity.refine(_prints(spark, sf_dir), _labels(spark, sf_dir), _k(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

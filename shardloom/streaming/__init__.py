@@ -1 +1 @@
-
+"""Incremental discovery of clips."""
