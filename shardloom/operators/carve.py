@@ -235,7 +235,7 @@ def classified(times: Column, boundary: Column, unknown_apart: bool = True) -> C
 def described(found: DataFrame, boundary: Column, config: CarveConfig) -> DataFrame:
     """The manifest's columns for fragments with marks: category, reason, counts, times, codec, number and file name."""
     times = F.transform(F.filter("marks", lambda m: m["ts_us"].isNotNull()), lambda m: m["ts_us"])
-    counts = [F.size(F.filter("marks", lambda m, c=c: m["codec"] == c)).cast("long") for c in (264, 265)]
+    counts = [F.size(F.filter(F.transform("marks", lambda m: m["codec"]), lambda x: x == F.lit(kind))).cast("long") for kind in (264, 265)]
     rows = found.select("path", F.col("start").alias("abs_start"), F.col("stop").alias("abs_end"), classified(times, boundary, config.unknown_apart).alias("c"), counts[0].alias("h264_count"), counts[1].alias("h265_count"))
     rows = rows.select("path", "abs_start", "abs_end", "c.*", B.codec_of(F.col("h264_count"), F.col("h265_count")).alias("codec"), "h264_count", "h265_count")
     number = F.row_number().over(Window.partitionBy("path", "category").orderBy("abs_start"))
