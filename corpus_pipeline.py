@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import langid, minhash, packing, quality, secrets
-from shardloom.llm.common import materialize, table
+from shardloom.llm.common import materialize, table, unused
 from shardloom.llm.pretokens import vocabulary
 
 #: Documents whose language is told with less confidence than this are rejected, as are those that are und.
@@ -17,15 +17,16 @@ LEAST_QUALITY = 0.3
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that are null or have no letter, and those whose language can't be told. Rows stay where they are."""
-    names = docs.columns
-    told = docs.withColumn("_p", langid.predicted(docs, langid.fit(docs)))
-    return told.filter((F.col("_p.lang") != "und") & (F.col("_p.score") >= LEAST_CONFIDENCE)).select(*names)
+    told = unused(docs, "told")
+    rows = docs.withColumn(told, langid.predicted(docs, langid.fit(docs)))
+    return rows.filter((F.col(f"{told}.lang") != "und") & (F.col(f"{told}.score") >= LEAST_CONFIDENCE)).select(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that the classifier scores low."""
     net = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_score", quality.scored(docs, net)).filter(F.col("_score") >= LEAST_QUALITY).select(*docs.columns)
+    score = unused(docs, "score")
+    return docs.withColumn(score, quality.scored(docs, net)).filter(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shardloom.session import discard, materialize, scratch_path, scratch_root, ship, table
 
-__all__ = ["connected_components", "crc_fold", "discard", "hot_join", "map_rows", "materialize", "scratch_path", "scratch_root", "ship", "table"]
+__all__ = ["connected_components", "crc_fold", "discard", "hot_join", "map_rows", "materialize", "scratch_path", "scratch_root", "ship", "table", "unused"]
 
 #: A join key is hot beyond this many rows; and at most HOT_KEYS keys are hot, so their list can be broadcast.
 HOT_ROWS, HOT_KEYS = 5_000, 500
@@ -40,6 +40,13 @@ def _arrow_schema(struct) -> pa.Schema:
     return to_arrow_schema(struct)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as it takes to clash with no column."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds).cast("long"))

@@ -116,9 +116,10 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     Counts of lengths (at most capacity numbers) reach the driver, and the plan, whose rows depend on the lengths alone,
     goes back to the tasks. A piece's rank within its length is its place in its task plus the counts of the tasks
     before; so no length, however common, is gathered in one place. Repeated rows are packed as often as they occur.
-    An empty table gives an empty result.
+    Columns named sequence_id, offset, _task or _local are replaced or dropped. An empty table gives an empty result.
     """
     ship(pieces.sparkSession)
+    pieces = pieces.drop("sequence_id", "offset", "_task", "_local")
     names = pieces.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     where = names.index("length")

@@ -69,5 +69,47 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
+OP5_SQL = rf"""WITH b AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS l, coalesce('=' || source, '-') AS s, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+ win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
+ rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM win) WHERE c > 1),
+ cov AS (SELECT r, count(DISTINCT i + o) AS n FROM rep, range(0, 5) x(o) GROUP BY r),
+ ln AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS g FROM b),
+ m AS (SELECT b.r, doc_id, l, s, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+  len(g)::BIGINT AS n_lines, (len(g) - len(list_distinct(g)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words FROM b JOIN ln USING (r) LEFT JOIN cov ON cov.r = b.r),
+ v AS (SELECT r, l, s, unnest([{{'m': 'a', 'v': 10000 * n_symbols // greatest(word_chars, 1)}}, {{'m': 'b', 'v': 10000 * n_dup_lines // greatest(n_lines, 1)}}, {{'m': 'c', 'v': 10000 * n_repeat_words // greatest(n_words, 1)}}, {{'m': 'd', 'v': 100 * word_chars // greatest(n_words, 1)}}], recursive := true) FROM m),
+ k AS (SELECT *, CASE WHEN v < 32 THEN v ELSE 16 * (length(bin(v)) - 5) + v // (1::BIGINT << (length(bin(v)) - 5)::BIGINT) END AS bk FROM v),
+ u AS (SELECT *, CASE WHEN bk < 32 THEN bk ELSE (bk % 16 + 17) * (1::BIGINT << (bk // 16 - 1)::BIGINT) - 1 END AS top FROM k),
+ q1 AS (SELECT l, s, m, count(*) AS n, quantile_disc(top, 0.25) AS lo, quantile_disc(top, 0.75) AS hi FROM u GROUP BY l, s, m), q2 AS (SELECT l, m, count(*) AS n, quantile_disc(top, 0.25) AS lo, quantile_disc(top, 0.75) AS hi FROM u GROUP BY l, m), q3 AS (SELECT m, quantile_disc(top, 0.25) AS lo, quantile_disc(top, 0.75) AS hi FROM u GROUP BY m),
+ q AS (SELECT q1.l, q1.s, q1.m, CASE WHEN q1.n >= 100 THEN q1.lo WHEN q2.n >= 100 THEN q2.lo ELSE q3.lo END AS lo, CASE WHEN q1.n >= 100 THEN q1.hi WHEN q2.n >= 100 THEN q2.hi ELSE q3.hi END AS hi FROM q1 JOIN q2 ON q1.l = q2.l AND q1.m = q2.m JOIN q3 ON q1.m = q3.m),
+ lim AS (SELECT l, s, m, hi + greatest(3 * (hi - lo), CASE m WHEN 'a' THEN 500 WHEN 'b' THEN 3000 WHEN 'c' THEN 1500 ELSE 300 END) AS most, CASE WHEN m = 'd' THEN lo - greatest(3 * (hi - lo), 250) ELSE -1 END AS least FROM q),
+ ok AS (SELECT r, bool_and(v <= most AND v >= least) AS ok FROM v JOIN lim USING (l, s, m) GROUP BY r)
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed, (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ok) AS kept FROM m JOIN ok USING (r)"""
+
+#: The tables' pages have no redirects or canonical links, so every page is its own alias here; links are tested against
+#: a brute-force version.
+_FITS = " ".join(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN '{host}{path}'" for _, host, path in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2])))
+_ALLOWS = ", ".join(f"'{host}{path}'" for verdict, host, path in urls.RULES if verdict == "allow")
+OP6_SQL = rf"""WITH r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS x FROM pages),
+ h AS (SELECT page_id, regexp_extract(x, '^[^/?#]*') AS h, x FROM r),
+ p AS (SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(x, length(h) + 1), '^[^?#]*') AS path FROM h),
+ f AS (SELECT *, CASE {_FITS} END AS rule FROM p)
+ SELECT page_id, host, path, rule, CASE WHEN rule IS NULL OR rule IN ({_ALLOWS}) THEN 'allow' ELSE 'block' END AS verdict FROM f"""
+
+
+def _spans_sql(kind: str) -> str:
+    pattern, group, least = (secrets.BASE | secrets.MORE)[kind]
+    quoted = pattern.replace("'", "''")
+    found = f"SELECT r, string_split_regex(t, '{quoted}') AS a, regexp_extract_all(t, '{quoted}', 0) AS w, regexp_extract_all(t, '{quoted}', {group}) AS g FROM b WHERE regexp_matches(t, '{quoted}')"
+    at = "list_sum(list_transform(a[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(w[1:i - 1], lambda x: length(x))), 0)"
+    return f"SELECT r, {secrets.KINDS.index(kind)} AS k, '{kind}' AS kind, CAST({at} AS BIGINT) AS a, CAST({at} + length(w[i]) AS BIGINT) AS e FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM ({found})) WHERE length(g[i]) >= {least}"
+
+
+OP9_SQL = f"""WITH b AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), sp AS ({" UNION ALL ".join(_spans_sql(k) for k in secrets.KINDS)}),
+ js AS (SELECT r, count(*) FILTER (k = 0) AS n0, count(*) FILTER (k = 1) AS n1, count(*) FILTER (k = 2) AS n2, coalesce(string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, k) FILTER (k < 3), '') AS base, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, k) AS spans FROM sp GROUP BY r)
+ SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM b LEFT JOIN js USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_quality_rules": OP5_SQL, "op6_url_filters": OP6_SQL, "op9_secret_scans": OP9_SQL}

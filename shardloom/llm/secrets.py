@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import hot_join, materialize
+from shardloom.llm.common import hot_join, materialize, unused
 
 RULES_VERSION = "2"
 
@@ -109,16 +109,17 @@ def redact(docs: DataFrame, mask: str = "[secret]", ledger_path: str | None = No
     """docs with every finding in text replaced by the mask (overlapping ones by one), and n_chars set anew if there."""
     _, found = scan(docs, ledger_path)
     names = docs.columns
-    rows = docs.withColumn("blob", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)))
-    joined = hot_join(rows, found, "blob", "left")
+    blob, spans = unused(docs, "blob"), unused(docs, "spans")
+    rows = docs.withColumn(blob, F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)))
+    joined = hot_join(rows, found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), blob, "left")
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def put(s: Column, x: Column) -> Column:
         fresh = F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0))), F.when(x["start"] >= s["at"], F.lit(mask)).otherwise(""))
         return F.when(x["end"] <= s["at"], s).otherwise(F.struct(x["end"].alias("at"), fresh.alias("out")))
 
-    clean = F.aggregate("spans", state, put, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1, F.length("text"))))
-    out = joined.withColumn("text", F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("text")))
+    clean = F.aggregate(spans, state, put, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1, F.length("text"))))
+    out = joined.withColumn("text", F.when(F.col(spans).isNotNull(), clean).otherwise(F.col("text")))
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
     return out.select(*names)
