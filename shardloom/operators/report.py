@@ -36,3 +36,18 @@ def write_text(lines: DataFrame, path: str) -> None:
 def memory_need(clips: int, dimension: int = 518_400, block: int = 5_000) -> dict[str, int]:
     """Bytes of a dense similarity matrix, of two blocks of fingerprints, and of one fingerprint."""
     return {"matrix": 4 * clips * clips, "blocks": 2 * 4 * min(block, max(clips, 1)) * dimension, "fingerprint": 4 * dimension}
+
+
+def gap_workbook(baseline: DataFrame, fills: DataFrame, matched: DataFrame, merged: DataFrame, by: list[str]) -> dict[str, DataFrame]:
+    """The five tables of the gap report: summary, gaps, baseline, fill (with whether it was used) and merged."""
+    from shardloom.operators.gaps import gap_summary
+
+    used = matched.select(*by, F.explode("fillers").alias("f")).select(*by, F.col("f.key").alias("key"), F.lit(True).alias("used"))
+    return {"summary": gap_summary(matched, by), "gaps": gap_report(matched), "baseline": baseline, "fill": fills.join(used, [*by, "key"], "left").withColumn("used", F.coalesce("used", F.lit(False))), "merged": merged}
+
+
+def write_workbook(tables: dict[str, DataFrame], folder: str) -> None:
+    """A folder of CSV files for each table; nested columns as JSON."""
+    for name, df in tables.items():
+        flat = [F.to_json(c).alias(c) if kind.startswith(("array", "struct", "map")) else F.col(c) for c, kind in df.dtypes]
+        write_csv(df.select(*flat), f"{folder}/{name}")
