@@ -6,13 +6,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions import text as T
-from shardloom.session import ship
+from shardloom.session import materialize, ship
+
+
+def with_place(rows: DataFrame, order: list, name: str = "place") -> DataFrame:
+    """rows with their place, from 1, in a total order, without gathering them in one task: they are sorted by ranges,
+    and a row's place is the rows in the ranges before plus its place in its own. Counts of ranges are broadcast."""
+    mark = F.monotonically_increasing_id()
+    held = materialize(rows.orderBy(*order).withColumn("_m", mark), "sorted").withColumn("_p", F.shiftright("_m", 33))
+    counts = held.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    place = F.col("_b") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return held.join(F.broadcast(before), "_p").withColumn(name, place.cast("long")).drop("_m", "_p", "_b")
 
 
 def natural_order(rows: DataFrame, name: str, by: list[str] = ()) -> DataFrame:
     """rows with their place in natural order: digits as numbers, letters without case; equal keys by name."""
-    window = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
-    return rows.withColumn("place", F.row_number().over(window.orderBy(T.natural_key(F.col(name)), name)).cast("long"))
+    keys = [T.natural_key(F.col(name)), F.col(name)]
+    if not by:
+        return with_place(rows, keys)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*keys)).cast("long"))
 
 
 def unique_targets(plan: DataFrame) -> DataFrame:

@@ -20,10 +20,11 @@ def dat_files(spark: SparkSession, folder: str, recursive: bool = False, any_cas
 
 def video_files(spark: SparkSession, folder: str, suffixes: list[str] = VIDEO_SUFFIXES) -> DataFrame:
     """Video files by suffix in any case, with seq from 1 in order of path."""
-    from pyspark.sql import Window
+    from shardloom.operators.order import with_place
 
     found = spark.read.format("binaryFile").load(folder).filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(suffixes))
-    return found.withColumn("seq", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("path")).cast("long"))
+    places = with_place(found.select("path"), ["path"], "seq")
+    return found.join(places, "path")
 
 
 def clip_times(files: DataFrame, window: B.Window = B.NARROW) -> DataFrame:
