@@ -70,14 +70,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def discard_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete a table that materialize() wrote, once nothing reads it any more."""
     path = getattr(df, "_scratch", None)
-    if path is None:
-        return
-    jvm = df.sparkSession._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+    if path is not None:
+        discard_path(df.sparkSession, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
