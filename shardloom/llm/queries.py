@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shardloom.llm import bpe, langid, minhash, packing, quality, rules, secrets, syncmers, token_files, urls
 from shardloom.llm.common import scratch_path, table
 from shardloom.llm.pretokens import vocabulary
+from shardloom.session import discard_path
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +44,9 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
-    return manifest.join(token_files.token_counts(spark, path), ["file", "document"]).select("doc_id", "n_tokens", "ended")
+    counts = token_files.token_counts(spark, path)
+    discard_path(spark, path)  # the separators have been written; the files are not read again
+    return manifest.join(counts, ["file", "document"]).select("doc_id", "n_tokens", "ended")
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,7 +65,8 @@ def token_counts(spark: SparkSession, path: str, separator: int = END_OF_TEXT_ID
     Files are cut into blocks that any task can read alone; a vectorised search finds the separators of a block. A
     document that begins in an earlier block is stitched by a prefix scan over the blocks of its file: the separators
     before a block, and the last one's place. Tokens after the last separator are a document that hasn't ended. Files
-    that are empty or missing give no rows; a size that isn't whole tokens is an error.
+    that are empty or missing give no rows; a size that isn't whole tokens is an error. The scan is done when this
+    returns; its separators are kept in the shared folder, and the files aren't read again.
     """
     ship(spark)
     kind = {2: "<u2", 4: "<u4"}[width]

@@ -126,3 +126,10 @@ def test_hot_join_loses_nothing(spark):
         a = sorted(map(tuple, hot_join(rows, values, "k", how, threshold=50).collect()), key=repr)
         b = sorted(map(tuple, rows.join(values, "k", how).collect()), key=repr)
         assert a == b
+
+
+def test_hot_join_on_binary_keys(spark):
+    rows = spark.createDataFrame([(bytearray(b"k" if i % 3 else bytes([i])), i) for i in range(90)], "k binary, v long")
+    values = spark.createDataFrame([(bytearray(b"k"), "one"), (bytearray(b"\x03"), "three")], "k binary, w string")
+    got = hot_join(rows, values, "k", "left", threshold=20).collect()
+    assert len(got) == 90 and sum(r["w"] == "one" for r in got) == 60 and sum(r["w"] == "three" for r in got) == 1
