@@ -211,6 +211,68 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _named(pairs: DataFrame, components: DataFrame, side: str) -> DataFrame:
+    """pairs with the component of one side: its own id if it has no links."""
+    return pairs.join(components.select(F.col("id").alias(side), F.col("component").alias(f"_{side}")), side, "left").withColumn(f"c_{side}", F.coalesce(f"_{side}", side)).drop(f"_{side}")
+
+
+def _across(members: DataFrame, families: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of different components of one family, at least one for every two that are linked.
+
+    Sizes are cut into classes so that a link joins equal or neighbouring ones. A class's queries (members outside the
+    family's largest component) and targets (all members) are dealt into blocks by a hash, and each pair of blocks is
+    one task's work: counts of shared shingles come from products of incidence matrices, a stretch of shingles at a
+    time. A block holds at most 512 queries and 2048 targets, fewer where sets are large.
+    """
+    step = 100 / percent * 1.001
+    rows = members.join(families.withColumnRenamed("component", "family"), "id").join(components, "id", "left").select("id", "n", "family", F.coalesce("component", "id").alias("component"))
+    rows = materialize(rows, "members")
+    sizes = rows.groupBy("family", "component").count()
+    mixed = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("_c"), F.max(F.struct("count", "component")).alias("_m")).filter("_c > 1").select("family", F.col("_m.component").alias("main"))
+    several = materialize(hot_join(rows, mixed, "family").withColumn("class", F.floor(F.log("n") / F.log(F.lit(step))).cast("int")), "mixed")
+    key = F.concat_ws(":", "family", "class").alias("key")
+    targets = materialize(several.select("id", "component", "class", key), "targets")
+    queries = several.filter("component <> main").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+    queries = materialize(queries.select("id", "component", "class", key), "queries")
+    room = lambda most, cells: F.least(F.lit(most), F.greatest(F.lit(8), (cells / F.pow(F.lit(step), F.col("class") + 1)).cast("int")))
+    blocks = queries.groupBy("key", "class").agg(F.count(F.lit(1)).alias("q")).join(targets.groupBy("key").agg(F.count(F.lit(1)).alias("t")), "key")
+    blocks = blocks.select("key", F.ceil(F.col("q") / room(512, 400_000)).cast("int").alias("nq"), F.ceil(F.col("t") / room(2048, 1_600_000)).cast("int").alias("nt"))
+    blocks = materialize(blocks, "blocks")
+    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    q = hot_join(queries, blocks, "key").select("id", "component", "key", place("nq").alias("x"), every("nt").alias("y"))
+    t = hot_join(targets, blocks, "key").select("id", "component", "key", every("nq").alias("x"), place("nt").alias("y"))
+    full = lambda: sets.select(F.col("id").alias("id"), F.col("hashes").alias("hashes"))
+
+    def compare(left, right):
+        import pandas as pd
+
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []})
+        parts = [np.frombuffer(h, np.uint64) for h in [*left["hashes"], *right["hashes"]]]
+        n = np.array([len(x) for x in parts])
+        owner = np.repeat(np.arange(len(parts)), n)
+        _, at, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        shared = times[at] > 1
+        owner, at = owner[shared], (np.cumsum(times > 1) - 1)[at[shared]]
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        k = len(left)
+        both = np.zeros((k, len(right)), np.float32)
+        for lo in range(0, int((times > 1).sum()), 4096):
+            a, b = np.searchsorted(at, [lo, lo + 4096])
+            there = np.zeros((len(parts), 4096), np.float32)
+            there[owner[a:b], at[a:b] - lo] = 1
+            both += there[:k] @ there[k:].T
+        union = n[:k, None] + n[None, k:] - both
+        own, other = left["component"].to_numpy(), right["component"].to_numpy()
+        i, j = np.nonzero((100 * both >= percent * union) & (own[:, None] != other[None]))
+        links = pd.DataFrame({"a": left["id"].to_numpy()[i], "b": right["id"].to_numpy()[j], "c": other[j]})
+        return links.drop_duplicates(["a", "c"])[["a", "b"]]
+
+    return q.join(full(), "id").groupBy("key", "x", "y").cogroup(t.join(full(), "id").groupBy("key", "x", "y")).applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs.
 
@@ -219,10 +281,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Documents without words are linked with nothing. A null doc_id has no component and is kept; rows with one doc_id
     count as one document. An empty table gives an empty result.
 
-    Equal sets are one class, which its least id stands for. Classes that share a band's bucket are candidates. First
-    each class is compared with one neighbour, the one before it in most of its buckets; then, in buckets that still
-    hold several components, members of different components are compared, so no candidate link is lost and the members
-    of a large group aren't compared all with all. Nothing is gathered on the driver.
+    Equal sets are one class, which its least id stands for. Classes that share a band's bucket are candidates. Each
+    class is first compared with one neighbour, the one before it in most of its buckets; then with its other
+    neighbours that are still in another component. Buckets that share members are a family. In families that hold
+    several components, all members outside the largest one are compared with the members of other components, in
+    blocks of matching sizes and bounded memory, of which only links come out; so no candidate link is lost, and the
+    members of a large group aren't compared all with all. Nothing is gathered on the driver.
     """
     ship(docs.sparkSession)
     signed = materialize(_signed(docs, width), "signed")
@@ -238,23 +302,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = materialize(_verified(best, sets, percent), "links-first")
     stars = materialize(connected_components(first), "components-first")
 
-    named = found.select("key", "id", "n").distinct().join(stars, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
-    named = materialize(named, "bucket-components")
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    several = materialize(hot_join(named, mixed, "key"), "mixed")
-    # a component's members in a bucket, by size: only sizes within the threshold can be linked
-    groups = several.groupBy("key", "component").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    left, right = groups.toDF("key", "ca", "lo_a", "hi_a"), groups.toDF("key", "cb", "lo_b", "hi_b")
-    across = left.join(right, "key").filter((F.col("ca") < F.col("cb")) & (100 * F.col("hi_a") >= percent * F.col("lo_b")) & (100 * F.col("hi_b") >= percent * F.col("lo_a"))).select("key", "ca", "cb")
-    a, b = several.select("key", F.col("component").alias("ca"), F.col("id").alias("a"), F.col("n").alias("n_a")), several.select("key", F.col("component").alias("cb"), F.col("id").alias("b"), F.col("n").alias("n_b"))
-    pairs = across.join(a, ["key", "ca"]).join(b, ["key", "cb"]).filter((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
-    pairs = materialize(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    second = _verified(pairs, sets, percent)
-    components = connected_components(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second))
+    # the other neighbours that are still in different components
+    rest = _named(_named(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b")).distinct(), stars, "a"), stars, "b")
+    second = materialize(_verified(rest.filter("c_a <> c_b").select("a", "b"), sets, percent), "links-second")
+    links = materialize(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second), "links-both")
+    stars2 = materialize(connected_components(links), "components-second")
+    families = materialize(connected_components(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b"))), "families")
+    last = _across(found.select("id", "n").distinct(), families, stars2, sets, percent)
+    components = connected_components(links.unionByName(last))
 
     of_class = classes.select("set_key", F.col("c.doc_id").alias("id")).join(components, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     of_class = materialize(of_class, "classes")
-    for old in (found, sets, first, named, several, pairs):
+    for old in (found, sets, first, second, stars, stars2, families, links):
         discard(old)
     rows = signed.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     joined = hot_join(materialize(rows, "rows"), of_class, "set_key", "left")
