@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 _PACKAGE = Path(__file__).resolve().parent
 _shipped: set[str] = set()
 
+#: Bytes of an Arrow batch to a Python worker, so that batches of long texts stay small.
+BATCH_BYTES = 8 << 20
+
 
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benches; a cluster brings its own."""
@@ -31,7 +34,11 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give Python workers this package, once per application, wherever the driver was started from."""
+    """Give Python workers this package, once per application, wherever the driver was started from; and bound their
+    batches, unless the application has set that bound itself."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(bound):
+        spark.conf.set(bound, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
