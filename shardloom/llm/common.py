@@ -68,21 +68,70 @@ def hot_join(rows: DataFrame, values: DataFrame, key: str, how: str = "inner", t
     return rows.filter(is_hot).join(F.broadcast(values.filter(is_hot)), key, how).unionByName(rows.filter(~is_hot).join(values.filter(~is_hot), key, how))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def _pointing(stars: DataFrame) -> DataFrame:
+    """Every node of finished stars with its root."""
+    return stars.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).unionByName(stars.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+#: Links that one task contracts at most.
+TASK_LINKS = 500_000
+
+
+def _contracted(links: DataFrame, tasks: int) -> DataFrame:
+    """Each task's share of the links, as stars: every node it has with the least one that its own links reach."""
+    ship(links.sparkSession)
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            top = x
+            while (up := root.setdefault(top, top)) != top:
+                top = up
+            while x != top:
+                root[x], x = top, root[x]
+            return top
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+        nodes = [x for x in root if find(x) != x]
+        for at in range(0, len(nodes), 10_000):
+            part = nodes[at : at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], schema=out)
+
+    shares = links.coalesce(1) if tasks == 1 else links.repartition(tasks)
+    return shares.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(run, "a long, b long")
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60, contract: bool = False) -> DataFrame:
     """(a, b) links -> (id, component): the smallest id that each linked id reaches.
 
     Alternates the two star operations (every node links its larger neighbours, then its smaller ones, to the smallest
     neighbour) until the links no longer change; then each node points at its root. Minima are pre-aggregated before
     they are shuffled, hot nodes are joined by broadcast, every round is written to the shared folder, and only counts
     reach the driver. Null ends and self-links are ignored; no links give no rows.
+
+    contract (for long ids, in Python): links are first dealt over tasks of at most TASK_LINKS each, which turn theirs
+    into stars. Where one such task holds all links nothing is left to do; else the rounds go on from the stars.
     """
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a is not null and b is not null and a <> b").distinct()
     links = materialize(links, "links")
+    if contract:
+        tasks = max(1, -(-links.count() // TASK_LINKS))
+        whole = links
+        links = materialize(_contracted(whole, tasks), "links")
+        discard(whole)
+        if tasks == 1:
+            return _pointing(links)
     signature = None
     for _ in range(max_rounds):
         stamp = tuple(links.select(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if stamp == signature or not stamp[0]:
-            return links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).unionByName(links.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+            return _pointing(links)
         signature = stamp
         both = materialize(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "both")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))

@@ -300,16 +300,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     best = neighbours.groupBy("id", "prev").count().groupBy("id").agg(F.max(F.struct("count", -F.col("prev"))).alias("m")).select(F.col("id").alias("a"), (-F.col("m")["col2"]).alias("b"))
     sets = materialize(_sets(docs, found.select("id").distinct(), width), "sets")
     first = materialize(_verified(best, sets, percent), "links-first")
-    stars = materialize(connected_components(first), "components-first")
+    stars = materialize(connected_components(first, contract=True), "components-first")
 
     # the other neighbours that are still in different components
     rest = _named(_named(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b")).distinct(), stars, "a"), stars, "b")
     second = materialize(_verified(rest.filter("c_a <> c_b").select("a", "b"), sets, percent), "links-second")
     links = materialize(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second), "links-both")
-    stars2 = materialize(connected_components(links), "components-second")
-    families = materialize(connected_components(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b"))), "families")
+    stars2 = materialize(connected_components(links, contract=True), "components-second")
+    families = materialize(connected_components(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b")), contract=True), "families")
     last = _across(found.select("id", "n").distinct(), families, stars2, sets, percent)
-    components = connected_components(links.unionByName(last))
+    components = connected_components(links.unionByName(last), contract=True)
 
     of_class = classes.select("set_key", F.col("c.doc_id").alias("id")).join(components, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     of_class = materialize(of_class, "classes")

@@ -2,8 +2,9 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
-from shardloom.llm import minhash
+from shardloom.llm import common, minhash
 from shardloom.llm.common import connected_components, hot_join
 
 
@@ -110,13 +111,15 @@ def test_neighbours_over_any_partitions(spark):
     assert {(r["key"], r["id"]) for r in found} >= {(k, i) for k, ids in members.items() if len(ids) > 1 for i in ids}
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("share", [None, 500_000, 100])
+def test_components_of_chains_and_stars(spark, share, monkeypatch):
+    monkeypatch.setattr(common, "TASK_LINKS", share)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, x) for x in range(1001, 1400)] + [(5, 5), (None, 3)] + [(2000, 2001)] * 3
-    rows = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    rows = connected_components(spark.createDataFrame(edges, "a long, b long"), contract=share is not None).collect()
     got = {r["id"]: r["component"] for r in rows}
     assert len(rows) == len(got)
     assert {got[i] for i in range(61)} == {0} and {got[i] for i in range(1000, 1400)} == {1000} and got[2001] == 2000
-    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert connected_components(spark.createDataFrame([], "a long, b long"), contract=share is not None).count() == 0
 
 
 def test_hot_join_loses_nothing(spark):
