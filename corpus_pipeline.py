@@ -45,7 +45,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences of 1024 tokens."""
-    return packing.pack(packing.piece_documents(docs, vocabulary("byte_bpe_50k.json")).drop("ids"))
+    return packing.pack(packing.piece_documents(docs, vocabulary("byte_bpe_50k.json"), ids=False))
 
 
 STAGES = [

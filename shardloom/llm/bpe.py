@@ -41,7 +41,7 @@ def byte_of_symbol() -> dict[str, int]:
 class Automaton:
     """encode(word bytes) -> ids; decode(ids) -> bytes."""
 
-    def __init__(self, vocabulary: dict[bytes, int], merges: list[tuple[int, int]], extra: dict[int, bytes] | None = None, memo: int = 400_000):
+    def __init__(self, vocabulary: dict[bytes, int], merges: list[tuple[int, int]], extra: dict[int, bytes] | None = None, memo: int = 150_000):
         size = max([*vocabulary.values(), *(extra or {})], default=0) + 1
         self.ids = vocabulary
         self.labels = [b""] * size

@@ -17,18 +17,40 @@ from shardloom.llm.common import materialize, ship
 from shardloom.llm.pretokens import slices
 
 
-def piece_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
-    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit), ids_crc32. Each document's ids end with end_id.
+def _ranks(capacity: int, where: int):
+    """A function that adds to batches the task and each row's place among the task's rows of its length."""
+    seen = np.zeros(capacity + 1, np.int64)
+    task = TaskContext.get().partitionId()
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lengths = batch.column(where).to_numpy(zero_copy_only=False).astype(np.int64)
+        if lengths.size and not 0 < lengths.min() <= lengths.max() <= capacity:
+            raise ValueError(f"lengths must be 1 to {capacity}")
+        order = np.argsort(lengths, kind="stable")
+        counts = np.bincount(lengths, minlength=capacity + 1)
+        ranks = np.empty(lengths.size, np.int64)
+        ranks[order] = np.arange(lengths.size) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(seen, counts)
+        np.add(seen, counts, out=seen)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(lengths.size, task, np.int32)), pa.array(ranks)], names=[*batch.schema.names, "_task", "_local"])
+
+    return add
+
+
+def piece_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, ids: bool = True) -> DataFrame:
+    """doc_id, piece, start, length, ids (little-endian unsigned 32-bit; if wanted), ids_crc32, and for pack() the task
+    and the place within it (_task, _local), so that one Python worker does both. Each document's ids end with end_id.
 
     Documents of more than capacity ids are cut so that only the first piece may be shorter. A null or empty text has
     one piece, of end_id alone. Texts stay where they are; only these rows go on.
     """
     ship(docs.sparkSession)
+    with_ids = ids
     out = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("ids_crc32", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_encoder(path)
         tail = end_id.to_bytes(4, "little")
+        add = _ranks(capacity, 3)
         for whole in batches:
             for batch in slices(whole, 1):
                 rows = []
@@ -40,9 +62,11 @@ def piece_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: in
                         start = max(0, end - capacity) if piece else 0
                         part = ids[4 * start : 4 * end]
                         rows.append((doc_id, piece, start, end - start, part, zlib.crc32(part)))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+                made = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+                yield add(made if with_ids else made.drop_columns(["ids"]))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long")
+    kinds = "ids binary, " if ids else ""
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, piece int, start long, length long, {kinds}ids_crc32 long, _task int, _local long")
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -116,29 +140,22 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     Counts of lengths (at most capacity numbers) reach the driver, and the plan, whose rows depend on the lengths alone,
     goes back to the tasks. A piece's rank within its length is its place in its task plus the counts of the tasks
     before; so no length, however common, is gathered in one place. Repeated rows are packed as often as they occur.
-    Columns named sequence_id, offset, _task or _local are replaced or dropped. An empty table gives an empty result.
+    Columns named sequence_id or offset are replaced; _task and _local must be those of piece_documents(), or are
+    dropped if only one is there. An empty table gives an empty result.
     """
     ship(pieces.sparkSession)
-    pieces = pieces.drop("sequence_id", "offset", "_task", "_local")
-    names = pieces.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    ready = {"_task", "_local"} <= set(pieces.columns)
+    pieces = pieces.drop("sequence_id", "offset") if ready else pieces.drop("sequence_id", "offset", "_task", "_local")
+    names = [c for c in pieces.columns if c not in ("_task", "_local")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name in names)
     where = names.index("length")
 
     def local_rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(capacity + 1, np.int64)
-        task = TaskContext.get().partitionId()
-        for batch in batches:
-            lengths = batch.column(where).to_numpy(zero_copy_only=False).astype(np.int64)
-            if lengths.size and not 0 < lengths.min() <= lengths.max() <= capacity:
-                raise ValueError(f"lengths must be 1 to {capacity}")
-            order = np.argsort(lengths, kind="stable")
-            counts = np.bincount(lengths, minlength=capacity + 1)
-            ranks = np.empty(lengths.size, np.int64)
-            ranks[order] = np.arange(lengths.size) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(seen, counts)
-            seen += counts
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(lengths.size, task, np.int32)), pa.array(ranks)], names=[*names, "_task", "_local"])
-
-    ranked = materialize(pieces.mapInArrow(local_rank, f"{schema}, `_task` int, `_local` long"), "pieces")
+        yield from map(_ranks(capacity, where), batches)
+
+    if not ready:
+        pieces = pieces.select(*names).mapInArrow(local_rank, f"{schema}, `_task` int, `_local` long")
+    ranked = materialize(pieces.select(*names, "_task", "_local"), "pieces")
     counts = ranked.groupBy("length", "_task").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     histogram = {r[0]: r[1] for r in ranked.groupBy("length").count().collect()}

@@ -30,7 +30,7 @@ def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return values[at]
 
 
-def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 12 << 20, most_rows: int = 4096) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int = 4 << 20, most_rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with a bounded amount of text (or one row)."""
     sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))])
     at = 0

@@ -37,8 +37,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    return packing.pack(pieces.drop("ids"))
+    return packing.pack(packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), ids=False))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
