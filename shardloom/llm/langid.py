@@ -23,6 +23,8 @@ FAMILIES = {
 }
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 WIDTH = 1 << 13
+#: A family's confidence is told among so many of the likeliest, so that it doesn't fall as more languages are learned.
+LIKELIEST = 40
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANK = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint32)
 
@@ -46,10 +48,13 @@ def features(texts: list[str]) -> np.ndarray:
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4, rounds: int = 150) -> np.ndarray:
-    """Weights and bias that minimise the mean squared hinge loss (classes weigh the same) by accelerated descent."""
+    """Weights and bias that minimise the mean squared hinge loss (classes weigh the same) by accelerated descent.
+
+    y has a column for each machine, or is the one column; machines that learn from the same rows go together.
+    """
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    w = v = np.zeros(x.shape[1], np.float32)
+    weight = np.where(y > 0, 0.5 / np.maximum(1, (y > 0).sum(0)), 0.5 / np.maximum(1, (y < 0).sum(0))).astype(np.float32)
+    w = v = np.zeros((x.shape[1], *y.shape[1:]), np.float32)
     step = 0.25
     for i in range(rounds):
         slack = np.maximum(0, 1 - y * (x @ v))
@@ -74,7 +79,10 @@ class LanguageModel:
         for at in range(0, len(told), 256):
             rows = told[at : at + 256]
             x = features([texts[i] for i in rows])
-            family = _softmax(x @ self.family_weights[:-1] + self.family_weights[-1])
+            family = x @ self.family_weights[:-1] + self.family_weights[-1]
+            if len(self.families) > LIKELIEST:
+                np.put_along_axis(family, np.argpartition(family, -LIKELIEST, 1)[:, :-LIKELIEST], -np.inf, 1)
+            family = _softmax(family)
             best = family.argmax(1)
             for f in np.unique(best):
                 mine = np.flatnonzero(best == f)
@@ -105,29 +113,31 @@ def train(x: np.ndarray, langs: list[str]) -> LanguageModel:
         members.setdefault(_FAMILY.get(name, f"only {name}"), []).append(name)
     families = sorted(members)
     of = np.array([_FAMILY.get(name, f"only {name}") for name in langs])
-    columns = [linear_svm(x, np.where(of == f, 1, -1).astype(np.float32)) for f in families] if len(families) > 1 else [np.zeros(WIDTH + 1, np.float32)] * len(families)
+    columns = linear_svm(x, np.where(of[:, None] == np.array(families), 1, -1).astype(np.float32)) if len(families) > 1 else np.zeros((WIDTH + 1, len(families)), np.float32)
     pairs = {}
     for inside in members.values():
         for i, a in enumerate(inside):
             for b in inside[i + 1 :]:
                 rows = (y == a) | (y == b)
                 pairs[a, b] = linear_svm(x[rows], np.where(y[rows] == a, 1, -1).astype(np.float32))
-    return LanguageModel(families, np.stack(columns, 1) if columns else np.zeros((WIDTH + 1, 0), np.float32), members, pairs)
+    return LanguageModel(families, columns, members, pairs)
 
 
-def fit(docs: DataFrame, per_language: int = 300, folds: int = 4, held_out: int = 2, most_languages: int = 40) -> LanguageModel:
+def fit(docs: DataFrame, per_language: int = 300, folds: int = 4, held_out: int = 2, full_languages: int = 40, least: int = 20) -> LanguageModel:
     """Learn from text and lang of documents outside the held-out fold of crc32(doc_id), over whole texts.
 
-    The sample is bounded: about per_language documents, chosen by a hash of their id, of each of the most_languages
-    commonest languages; never more than twice that in all. Features are made on the executors, so what reaches the
-    driver doesn't depend on how long texts are.
+    Every lang value is learned; what is bounded is the rows of each: about per_language documents, chosen by a hash of
+    their id. With more than full_languages languages each has fewer, so that the total stays the same, but no fewer
+    than least; never more than twice that in all. Features are made on the executors, so what reaches the driver
+    doesn't depend on how long texts are.
     """
     known = docs.select("doc_id", "text", "lang").filter((crc_fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
-    share = F.lit(False)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000).cast("long"))
-    for row in counts:
-        share = share | ((F.col("lang") == row["lang"]) & (place < int(1_000_000 * min(1.0, per_language / row["count"])) + 1))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    most = min(per_language, max(least, per_language * full_languages // max(1, len(counts))))
+    # ids that are null say nothing of a row, so its text does
+    place = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(1_000_000).cast("long"))
+    bounds = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(1_000_000 * min(1.0, most / n)) + 1)]) if counts else None
+    share = place < bounds[F.col("lang")] if counts else F.lit(False)
 
     def make():
         def vectors(langs, texts):
@@ -143,7 +153,7 @@ def fit(docs: DataFrame, per_language: int = 300, folds: int = 4, held_out: int
 
         return vectors
 
-    rows = map_rows(known.filter(share), ["lang", "text"], make, "lang string, at binary, value binary").limit(2 * per_language * most_languages).collect()
+    rows = map_rows(known.filter(share), ["lang", "text"], make, "lang string, at binary, value binary").limit(2 * most * max(1, len(counts))).collect()
     rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["value"])))  # one order, whatever the partitions
     x = np.zeros((len(rows), WIDTH), np.float32)
     for i, row in enumerate(rows):

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from shardloom.llm import langid, quality, rules, secrets, syncmers, urls
 
 rng = random.Random(8)
@@ -36,6 +37,28 @@ def test_languages(spark):
     assert langid.identify(frame.select("doc_id", "text", langid.F.lit(None).cast("string").alias("lang"))).select("lang_pred").distinct().first()[0] == "und"
 
 
+def test_more_than_forty_languages(spark):
+    """Every language is learned, the rarest as well, and the pipeline keeps its documents."""
+    words = {f"x{k:02}": ["".join(rng.choice("bcdfghjklmnpqrstvwxz") + rng.choice("aeiouy") for _ in range(3)) for _ in range(12)] for k in range(46)}
+    rows = [(100 * k + i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for k, lang in enumerate(words) for i in range(16 if k < 40 else 12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sum(len(v) for v in langid.fit(frame).members.values()) == 46
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame).collect()} == {i: lang for i, _, lang in rows}
+    few = langid.fit(frame, per_language=4, full_languages=10, least=1)
+    assert sum(len(v) for v in few.members.values()) > 20
+    assert corpus_pipeline.language(spark, frame, "").count() == len(rows)
+
+
+def test_confidence_does_not_fall_with_languages():
+    scores = []
+    for n in (40, 400):
+        weights = np.zeros((langid.WIDTH + 1, n), np.float32)
+        weights[-1] = [1.0] + [-1.0] * (n - 1)
+        names = [f"only {i}" for i in range(n)]
+        scores.append(langid.LanguageModel(names, weights, {f: [f] for f in names}, {}).predict(["ab " * 20])[1][0])
+    assert abs(scores[0] - scores[1]) < 1e-6
+
+
 def test_quality(spark):
     rows = [(i, sentence("en", 60) if i % 2 else " ".join(w + "###" for w in sentence("en", 60).split())) for i in range(300)] + [(1000, None), (1001, ""), (None, "x"), (1002, "long " * 50000)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
