@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shardloom.llm.common import hot_join, materialize, unused
 
-RULES_VERSION = "2"
+RULES_VERSION = "3"
 
 #: Kind -> (pattern, group whose length counts, least length). The first three are the base.
 BASE = {
@@ -22,12 +22,24 @@ MORE = {
     "web_token": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 0),
 }
 KINDS = [*BASE, *MORE]
+_EOL = r"(?:\r\n|\r|\n|\\r\\n|\\r|\\n)"
+#: What of a kind is found in place of its pattern above, which says where one begins. A private key goes
+#: on to the END line of its label, if that comes before another BEGIN; else over its headers and the lines of base64
+#: that follow (line ends may be written as escapes, and long runs may have blank lines or spaces between them).
+WHOLE = {
+    "private_key": (
+        r"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END \1PRIVATE KEY-----"
+        rf"|(?:{_EOL}[ \t]*(?:Proc-Type|DEK-Info):[^\r\n\\]*)*+(?:{_EOL}[ \t]*(?={_EOL}))?+"
+        rf"(?:(?:\s|\\[rn])*+[A-Za-z0-9+/]{{24,}}+={{0,2}}|{_EOL}[ \t]*[A-Za-z0-9+/]++={{0,2}}(?=[ \t]*(?:[\r\n\\\"'<]|\z)))*+)"
+    ),
+}
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
 def spans_of(text: Column, kind: str) -> Column:
     """All places of a kind, in code points: the texts between matches and the matches' own lengths, added up."""
     pattern, group, least = (BASE | MORE)[kind]
+    pattern = WHOLE.get(kind, pattern)
     lit = F.lit(pattern)
     between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     found = F.arrays_zip(F.transform(F.regexp_extract_all(text, lit, F.lit(0)), lambda x: F.length(x)).alias("whole"), F.transform(F.regexp_extract_all(text, lit, F.lit(group)), lambda x: F.length(x)).alias("part"), between.alias("before"))
