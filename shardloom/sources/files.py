@@ -9,7 +9,7 @@ from shardloom.functions import binary as B
 from shardloom.functions import text as T
 
 #: Suffixes of video files.
-VIDEO_SUFFIXES = ["dat", "mp4", "avi", "mkv", "mov", "h264", "h265", "hevc", "ts"]
+VIDEO_SUFFIXES = ["mp4", "avi", "mov", "mkv", "wmv", "flv", "mpeg", "mpg", "dat"]
 
 
 def dat_files(spark: SparkSession, folder: str, recursive: bool = False, any_case: bool = True) -> DataFrame:

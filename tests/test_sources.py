@@ -24,6 +24,14 @@ def test_scan_of_clips(spark, tmp_path):
     assert [r["seq"] for r in files.video_files(spark, str(tmp_path)).orderBy("seq").collect()] == [1, 2]
 
 
+def test_all_suffixes_of_video_files(spark, tmp_path):
+    names = ["a.mp4", "b.avi", "c.MOV", "d.mkv", "e.wmv", "f.flv", "g.mpeg", "h.MPG", "i.dat"]
+    for name in [*names, "a.h264", "b.h265", "c.hevc", "d.ts", "e.txt", "mp4", "f.mp4.part"]:
+        (tmp_path / name).write_bytes(b"x")
+    rows = files.video_files(spark, str(tmp_path)).select("seq", "path").orderBy("seq").collect()
+    assert [(r["seq"], r["path"].rsplit("/", 1)[1]) for r in rows] == list(enumerate(names, 1))
+
+
 def test_cache_resumes(spark, tmp_path):
     schema = "key string, path string, vec array<float>"
     cache = str(tmp_path / "cache")
