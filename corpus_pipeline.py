@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shardloom.llm import langid, minhash, packing, quality, secrets
 from shardloom.llm.common import materialize, table, unused
 from shardloom.llm.pretokens import vocabulary
+from shardloom.operators.order import with_place
 
 #: Documents whose language is told with less confidence than this are rejected, as are those that are und.
 LEAST_CONFIDENCE = 0.3
@@ -30,12 +31,23 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each group of near-duplicates (five words, 0.8), and one row of each
-    doc_id. Rows with a null doc_id stay."""
-    groups = minhash.near_duplicates(docs, width=5, percent=80)
-    kept = groups.filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """Keeps the document with the least doc_id of each group of near-duplicates (five words, 0.8), and one row of those
+    that repeat both doc_id and text. Different texts under one doc_id are documents of their own, in order of their
+    SHA-256. Rows with a null doc_id stay."""
+    named = docs.filter("doc_id is not null")
+    if named.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return _least_of_each(named, "doc_id").unionByName(docs.filter("doc_id is null"))
+    address, place = unused(docs, "address"), unused(docs, "place")
+    rows = named.withColumn(address, F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit(""))).dropDuplicates(["doc_id", address])
+    places = with_place(rows.select("doc_id", address), ["doc_id", address], place)
+    rows = materialize(rows.join(places, ["doc_id", address]), "versions")
+    return _least_of_each(rows, place).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+
+
+def _least_of_each(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose key, of which each has its own, is the least of its group of near-duplicates."""
+    groups = minhash.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), width=5, percent=80)
+    return rows.join(groups.filter("kept").select(F.col("doc_id").alias(key)), key, "left_semi").select(*rows.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

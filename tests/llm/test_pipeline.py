@@ -36,6 +36,17 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
 
 
+def test_different_texts_of_one_id_stay(spark):
+    a, b, c, d = (words(EN) for _ in range(4))
+    rows = [(7, a, 1), (7, b, 2), (7, c, 3), (7, a, 1), (3, a + " end", 4), (9, b + " end", 5), (9, d, 6), (8, None, 7), (8, "", 8), (8, None, 7), (None, a, 9), (None, a, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place long")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    # a is kept as 3's, b as 7's, though 9 has it as well
+    want = [(7, b, 2), (7, c, 3), (3, a + " end", 4), (9, d, 6), (8, None, 7), (8, "", 8), (None, a, 9), (None, a, 9)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
 def test_empty_documents(spark, tmp_path):
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
