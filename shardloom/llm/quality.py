@@ -14,6 +14,7 @@ from shardloom.llm.common import crc_fold, map_rows, ship
 
 CHUNK, STEP = 512, 448  # bytes; neighbours overlap by 64
 SPAN, STRIDE, CHANNELS, FILTERS = 8, 2, 8, 24
+BLOCK = 384  # chunks that are learned from at once
 
 
 def chunks_of(text: str | None) -> np.ndarray:
@@ -85,7 +86,8 @@ def train(documents: list[np.ndarray], labels: np.ndarray, prior: float, rounds:
             chunks = np.concatenate([documents[i] for i in batch])
             of = np.repeat(np.arange(len(batch)), [len(documents[i]) for i in batch])
             count = np.bincount(of, minlength=len(batch)).astype(np.float32)
-            found, where = net.pooled(chunks)
+            parts = [slice(i, i + BLOCK) for i in range(0, len(chunks), BLOCK)]
+            found, where = (np.concatenate(x) for x in zip(*(net.pooled(chunks[p]) for p in parts), strict=True))
             starts = np.concatenate([[0], np.cumsum(count)[:-1]]).astype(int)
             top = np.maximum.reduceat(found, starts, 0)
             mean = np.add.reduceat(found, starts, 0) / count[:, None]
@@ -98,12 +100,14 @@ def train(documents: list[np.ndarray], labels: np.ndarray, prior: float, rounds:
             is_top /= np.maximum(np.add.reduceat(is_top, starts, 0), 1)[of]
             d = (d_both[of, :FILTERS] * is_top + d_both[of, FILTERS:] / count[of, None]) * (found > 0)
             grads["lift"] = d.sum(0)
-            # only the windows that hold a maximum have a gradient
-            span = where[:, :, None] * STRIDE + np.arange(SPAN)
-            bytes_at = chunks[np.arange(len(chunks))[:, None, None], span]
-            grads["filters"] = np.einsum("cf,cfk->kf", d, net.embedding[bytes_at].reshape(len(chunks), FILTERS, -1), optimize=True)
-            back = d[:, :, None] * net.filters.T[None]
-            grads["embedding"] = np.stack([np.bincount(bytes_at.ravel(), back.reshape(-1, CHANNELS)[:, c], minlength=256) for c in range(CHANNELS)], 1).astype(np.float32)
+            grads["filters"], grads["embedding"] = np.zeros_like(net.filters), np.zeros_like(net.embedding)
+            for p in parts:
+                # only the windows that hold a maximum have a gradient
+                span = where[p][:, :, None] * STRIDE + np.arange(SPAN)
+                bytes_at = chunks[p][np.arange(len(span))[:, None, None], span]
+                grads["filters"] += np.einsum("cf,cfk->kf", d[p], net.embedding[bytes_at].reshape(len(span), FILTERS, -1), optimize=True)
+                back = d[p][:, :, None] * net.filters.T[None]
+                grads["embedding"] += np.stack([np.bincount(bytes_at.ravel(), back.reshape(-1, CHANNELS)[:, c], minlength=256) for c in range(CHANNELS)], 1).astype(np.float32)
             grads["embedding"][0] = 0
             time += 1
             for k, g in grads.items():
@@ -115,12 +119,12 @@ def train(documents: list[np.ndarray], labels: np.ndarray, prior: float, rounds:
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 700, most_chunks: int = 12, folds: int = 5, held_out: int = 0) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 700, most_chunks: int = 40_000, folds: int = 5, held_out: int = 0) -> Network:
     """Learn labels.quality from labelled rows outside the held-out fold of crc32(doc_id).
 
     The sample is bounded: about per_class documents of each label, chosen by a hash of their id (never more than four
-    times that in all), and for learning at most most_chunks chunks of each, evenly spread over the whole document.
-    Scoring uses all chunks. Without rows of both labels every score is the prior (or 0.5).
+    times that in all), and of these, in order of the hash, those whose chunks fit into most_chunks together. Each is
+    learned over all its chunks, as it is scored. Without rows of both labels every score is the prior (or 0.5).
     """
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold(F.col("doc_id"), folds) != held_out))
     counts = {r[0]: r[1] for r in known.groupBy("quality").count().collect()}
@@ -131,17 +135,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 700, most_chunks: i
     chosen = {r[0]: r[1] for r in known.filter(share).orderBy(F.xxhash64("doc_id"), "quality").limit(4 * per_class).collect()}
 
     def make():
-        def spread(ids, texts):
-            out = []
-            for text in texts:
-                chunks = chunks_of(text)
-                at = np.unique(np.linspace(0, len(chunks) - 1, min(len(chunks), most_chunks)).astype(int))
-                out.append(np.ascontiguousarray(chunks[at]).tobytes())
-            return ids, out
-
-        return spread
-
-    rows = map_rows(docs.filter(F.col("doc_id").isin(sorted(chosen))), ["doc_id", "text"], make, "doc_id long, chunks binary").limit(4 * per_class).collect() if chosen else []
+        return lambda ids, texts: (ids, [np.ascontiguousarray(chunks_of(text)).tobytes() for text in texts])
+
+    n_chunks = F.greatest(F.lit(1), F.ceil((F.coalesce(F.octet_length("text"), F.lit(0)) - (CHUNK - STEP)) / STEP))
+    sizes = {r[0]: r[1] for r in docs.filter(F.col("doc_id").isin(sorted(chosen))).groupBy("doc_id").agg(F.sum(n_chunks)).collect()} if chosen else {}
+    fitting, room = [], most_chunks
+    for doc_id in chosen:
+        if sizes.get(doc_id, room + 1) <= room:
+            fitting.append(doc_id)
+            room -= sizes[doc_id]
+    rows = map_rows(docs.filter(F.col("doc_id").isin(sorted(fitting))), ["doc_id", "text"], make, "doc_id long, chunks binary").collect() if fitting else []
     rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["chunks"])))
     y = np.array([chosen[r["doc_id"]] for r in rows], np.float32)
     if not len(set(y.tolist())) == 2:

@@ -72,6 +72,28 @@ def test_quality(spark):
     assert quality.classify(frame, labels.limit(0)).select("score").distinct().count() == 1
 
 
+def test_long_documents_are_learned_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda documents, labels, prior: seen.append((documents, labels)))
+    rows = [(i, sentence("en", 60 if i % 10 else 4000)) for i in range(60)]
+    frame, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i // 2 % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    quality.fit(frame, labels)
+    whole = {quality.chunks_of(t).tobytes() for _, t in rows}
+    assert max(map(len, seen[0][0])) > 12 and all(x.tobytes() in whole for x in seen[0][0])
+    assert len(seen[0][0]) > 40
+    quality.fit(frame, labels, most_chunks=60)  # fewer documents then, but none is cut
+    assert sum(map(len, seen[1][0])) <= 60 and all(x.tobytes() in whole for x in seen[1][0])
+
+
+def test_blocks_of_a_long_batch_add_up(monkeypatch):
+    documents = [np.ascontiguousarray(quality.chunks_of(sentence("en" if i % 2 else "de", 300))) for i in range(24)]
+    y = np.array([i % 2 for i in range(24)], np.float32)
+    whole = quality.train(documents, y, 0.5, rounds=2)
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    parts = quality.train(documents, y, 0.5, rounds=2)
+    assert np.allclose(whole.filters, parts.filters, atol=1e-3) and np.allclose(whole.out, parts.out, atol=1e-3)
+
+
 def test_all_chunks_count():
     text = "a" * 5000
     assert len(quality.chunks_of(text)) == -(-(5000 - 64) // 448)
