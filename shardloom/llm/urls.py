@@ -12,7 +12,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The rules of the production query: (verdict, host, path).
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*(?:"(?:[^">]*\s)?canonical[\s"]|'(?:[^'>]*\s)?canonical[\s']|canonical(?:[\s/>]|$)))[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -62,8 +62,8 @@ def resolved(target: Column, url: Column) -> Column:
 
 
 def alias_links(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
-    """(url, target) from canonical links and refreshing redirects in html, and from a table (url, target) of redirects."""
-    found = F.filter(F.array(F.regexp_extract("html", _CANONICAL, 1), F.regexp_extract("html", _REFRESH, 1)), lambda x: x != "")
+    """(url, target) from all canonical links and refreshing redirects in html, and from a table (url, target) of redirects."""
+    found = F.filter(F.concat(*[F.regexp_extract_all("html", F.lit(x), F.lit(1)) for x in (_CANONICAL, _REFRESH)]), lambda x: x != "")
     links = pages.filter(F.regexp_like("html", F.lit("(?i)canonical|refresh")) & F.col("url").isNotNull()).select("url", F.explode(found).alias("target"))
     links = links.select("url", resolved(F.col("target"), F.col("url")).alias("target"))
     return links if redirects is None else links.unionByName(redirects.select("url", "target"))

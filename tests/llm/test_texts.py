@@ -182,6 +182,22 @@ def test_urls(spark):
     assert urls.judge(frame.limit(0)).count() == 0
 
 
+def test_every_link_of_a_page_counts(spark):
+    other, blocked = "http://q.org/z", "http://a.net/x"
+    htmls = [
+        f"<link rel=canonical href={other}><link rel=canonical href={blocked}>",
+        f"<meta http-equiv=refresh content='0;url={other}'><p><meta http-equiv=refresh content='5;url={blocked}'>",
+        f'<link rel="nofollow canonical" href="{blocked}">',
+        f"<link href='{blocked}' rel='canonical  next'/>",
+        f'<link rel="not-canonical" href="{blocked}"><link rel="canonical-x" href="{blocked}"><link rel=alternate href="{blocked}" title="canonical">',
+    ]
+    pages = [(i, f"http://p{i}.org/", h) for i, h in enumerate(htmls)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    links = sorted(map(tuple, urls.alias_links(frame).collect()))
+    assert links == sorted([(pages[i][1], t) for i in (0, 1) for t in (other, blocked)] + [(pages[i][1], blocked) for i in (2, 3)])
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(frame).collect()} == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_secrets(spark, tmp_path):
     key = "0123456789abcdef" * 2
     texts = ["", None, f"x {key} y", "Password: 'hunter2hunter2'", "token=secret:abcdefgh1", "é🙂 api_key = ABCDEFGH\nAKIA1234567890AB", "token: a token=abcdefgh, AKIA12", "secret=" + key, "password=p4ssw0rd! " * 3000, f"x {key} y"]
