@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import langid, minhash, packing, quality, secrets
-from shardloom.llm.common import materialize, table, unused
+from shardloom.llm.common import materialize, scratch_root, table, unused
 from shardloom.llm.pretokens import vocabulary
 from shardloom.operators.order import with_place
 
@@ -14,6 +14,8 @@ from shardloom.operators.order import with_place
 LEAST_CONFIDENCE = 0.3
 #: Documents scored below this are rejected.
 LEAST_QUALITY = 0.3
+#: The ledger of secret scans in the shared folder, which all runs add to.
+LEDGER = "shardloom/secrets-ledger"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +53,8 @@ def _least_of_each(rows: DataFrame, key: str) -> DataFrame:
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks the secrets in every text; documents stay."""
-    return secrets.redact(docs)
+    """Masks the secrets in every text; documents stay. Texts that the ledger has from earlier runs aren't scanned again."""
+    return secrets.redact(docs, ledger_path=f"{scratch_root(spark)}/{LEDGER}")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

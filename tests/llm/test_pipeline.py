@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from shardloom.llm.common import materialize
+from shardloom.llm.common import materialize, scratch_root
 
 rng = random.Random(2)
 EN = "the of and to in that is was with for on are by this it as be at or from have".split()
@@ -47,6 +47,16 @@ def test_different_texts_of_one_id_stay(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
+def test_secrets_of_earlier_runs_are_not_scanned_again(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "LEDGER", "shardloom/test-ledger", raising=False)
+    docs = spark.createDataFrame([(1, "my password=abcdefgh1"), (2, "clean"), (3, None)], "doc_id long, text string")
+    want = [(1, "my [secret]"), (2, "clean"), (3, None)]
+    ledger = lambda: spark.read.parquet(f"{scratch_root(spark)}/shardloom/test-ledger").count()
+    assert sorted(map(tuple, corpus_pipeline.without_secrets(spark, docs, "").collect())) == want and ledger() == 3
+    more = docs.unionByName(spark.createDataFrame([(4, "token=zzzzzzzz9")], docs.schema))
+    assert sorted(map(tuple, corpus_pipeline.without_secrets(spark, more, "").collect())) == [*want, (4, "[secret]")] and ledger() == 4
+
+
 def test_empty_documents(spark, tmp_path):
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
