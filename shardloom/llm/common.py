@@ -73,8 +73,8 @@ def _pointing(stars: DataFrame) -> DataFrame:
     return stars.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component")).unionByName(stars.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-#: Links that one task contracts at most.
-TASK_LINKS = 500_000
+#: Links that one task contracts at most, and tasks that contract at least.
+TASK_LINKS, LEAST_TASKS = 500_000, 8
 
 
 def _contracted(links: DataFrame, tasks: int) -> DataFrame:
@@ -103,8 +103,7 @@ def _contracted(links: DataFrame, tasks: int) -> DataFrame:
             part = nodes[at : at + 10_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], schema=out)
 
-    shares = links.coalesce(1) if tasks == 1 else links.repartition(tasks)
-    return shares.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(run, "a long, b long")
+    return links.repartition(tasks).select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(run, "a long, b long")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60, contract: bool = False) -> DataFrame:
@@ -113,25 +112,24 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, contract: bool
     Alternates the two star operations (every node links its larger neighbours, then its smaller ones, to the smallest
     neighbour) until the links no longer change; then each node points at its root. Minima are pre-aggregated before
     they are shuffled, hot nodes are joined by broadcast, every round is written to the shared folder, and only counts
-    reach the driver. Null ends and self-links are ignored; no links give no rows.
+    reach the driver. Null ends and self-links are ignored; no links give no rows. The result is a written table.
 
-    contract (for long ids, in Python): links are first dealt over tasks of at most TASK_LINKS each, which turn theirs
-    into stars. Where one such task holds all links nothing is left to do; else the rounds go on from the stars.
+    contract (for long ids, in Python): links are first dealt over LEAST_TASKS tasks or more, of at most TASK_LINKS
+    each, which turn theirs into stars, from which the rounds go on.
     """
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a is not null and b is not null and a <> b").distinct()
     links = materialize(links, "links")
     if contract:
-        tasks = max(1, -(-links.count() // TASK_LINKS))
         whole = links
-        links = materialize(_contracted(whole, tasks), "links")
+        links = materialize(_contracted(whole, max(LEAST_TASKS, -(-whole.count() // TASK_LINKS))).distinct(), "links")
         discard(whole)
-        if tasks == 1:
-            return _pointing(links)
     signature = None
     for _ in range(max_rounds):
         stamp = tuple(links.select(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if stamp == signature or not stamp[0]:
-            return _pointing(links)
+            pointing = materialize(_pointing(links), "components")
+            discard(links)
+            return pointing
         signature = stamp
         both = materialize(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "both")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))

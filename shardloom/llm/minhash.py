@@ -1,14 +1,14 @@
 """Near-duplicate documents by HyperMinHash registers, banding, corrected estimates and exact verification.
 
 A register holds the count of leading zeros and ten mantissa bits of the least hash in its bucket: sixteen bits for a
-minimum of 64. Registers of buckets that a short document leaves empty are borrowed from others, by a fixed order, so
-that two documents' registers agree as often as their sets do.
+minimum of 64. Registers of buckets that a short document leaves empty are borrowed from others, by an order of each
+bucket's own, so that two documents' registers agree as often as their sets do.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,18 +17,25 @@ from pyspark.sql import functions as F
 
 from shardloom.llm.common import connected_components, discard, hot_join, materialize, ship
 
-BUCKETS, MANTISSA = 256, 10
-#: 42 bands of 6 registers find a pair with a likeness of 0.8 with all but 3 in a million chances.
-ROWS, BANDS = 6, 42
+BUCKETS, MANTISSA = 512, 10
+#: 64 bands of 8 registers find a pair with a likeness of 0.8 with all but 8 in a million chances, and let 4 in 100 pairs
+#: with a likeness of 0.4 share a bucket, 4 in 1000 with one of 0.3.
+ROWS, BANDS = 8, 64
+#: Members of a bucket that one group of a comparison holds on either side; registers of two such blocks take 256 KB.
+BLOCK = 128
+#: Neighbours in its buckets that each class is compared with first.
+FIRST = 4
 
 _rng = np.random.default_rng(20240229)
 _COEFFICIENT = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ORDER = np.argsort(_rng.random((BUCKETS, BUCKETS)), 1).argsort(1).astype(np.uint8)
+_PROBE = _rng.random((BUCKETS, BUCKETS)).argsort(1).astype(np.uint16)  # where an empty bucket looks, in this order
+_RANK = _PROBE.argsort(1).astype(np.uint16)
 _BAND = _rng.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _IS_SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _UNDO = pow(_BASE, -1, 1 << 64)
-_STARTS = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(56)
+_SHIFT = np.uint64(64 - (BUCKETS - 1).bit_length())
+_STARTS = np.arange(BUCKETS, dtype=np.uint64) << _SHIFT
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,38 +78,76 @@ def shingles(text: str | None, width: int = 2) -> np.ndarray:
 
 def registers(hashes: np.ndarray) -> np.ndarray:
     """BUCKETS registers of a set that isn't empty: leading zeros, then MANTISSA bits."""
-    at = np.searchsorted(hashes, _STARTS)
-    filled = np.append(at[1:], len(hashes)) > at
-    rest = (hashes[np.minimum(at, len(hashes) - 1)] & np.uint64((1 << 56) - 1)) >> np.uint64(3)
+    return registers_of([hashes])[0]
+
+
+def registers_of(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of registers for each of the sets, none of which is empty."""
+    rest = np.zeros((len(sets), BUCKETS), np.uint64)
+    filled = np.zeros((len(sets), BUCKETS), bool)
+    for row, hashes in enumerate(sets):
+        at = np.searchsorted(hashes, _STARTS)
+        filled[row] = np.append(at[1:], len(hashes)) > at
+        rest[row] = hashes[np.minimum(at, len(hashes) - 1)]
+    rest = (rest & ((np.uint64(1) << _SHIFT) - np.uint64(1))) >> (_SHIFT - np.uint64(53))
     bits = np.frexp(rest.astype(np.float64))[1].astype(np.int64)
     shift = bits - 1 - MANTISSA
     mantissa = np.where(shift >= 0, rest >> np.maximum(shift, 0).astype(np.uint64), rest << np.maximum(-shift, 0).astype(np.uint64)) & np.uint64((1 << MANTISSA) - 1)
     out = ((53 - bits) << MANTISSA | mantissa.astype(np.int64)).astype(np.uint16)
-    if not filled.all():
-        full, empty = np.flatnonzero(filled), np.flatnonzero(~filled)
-        out[empty] = out[full[_ORDER[np.ix_(empty, full)].argmin(1)]]
+    # an empty bucket borrows from the first filled one in its order: sparse rows by least rank, the others by looking
+    sparse = filled.sum(1) <= 24
+    for row in np.flatnonzero(sparse):
+        full, empty = np.flatnonzero(filled[row]), np.flatnonzero(~filled[row])
+        out[row, empty] = out[row, full[_RANK[np.ix_(empty, full)].argmin(1)]]
+    row, bucket = np.nonzero(~filled & ~sparse[:, None])
+    step = 0
+    while row.size:
+        seen = _PROBE[bucket, step]
+        hit = filled[row, seen]
+        out[row[hit], bucket[hit]] = out[row[hit], seen[hit]]
+        row, bucket = row[~hit], bucket[~hit]
+        step += 1
     return out
 
 
 def band_keys(found: np.ndarray) -> np.ndarray:
-    parts = found[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64) + np.uint64(1)
-    return _mix((parts * _BAND).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    """The BANDS buckets of every row of registers."""
+    parts = found[..., : BANDS * ROWS].reshape(*found.shape[:-1], BANDS, ROWS).astype(np.uint64) + np.uint64(1)
+    return _mix((parts * _BAND).sum(-1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Likeness of pairs from rows of registers, less the agreement by chance.
+def zeros_of(n: np.ndarray) -> np.ndarray:
+    """For sets of n hashes, how likely a bucket's minimum has 0, 1, 2, ... leading zeros."""
+    stays = np.power(1 - 2.0 ** -np.arange(1, 40), np.maximum(1, n / BUCKETS)[:, None])
+    return np.diff(stays, axis=1, prepend=0)
 
-    Two unrelated minima with as many leading zeros agree in their mantissa once in 2 ** MANTISSA times; how often
-    they have as many follows from how many hashes fall in a bucket.
-    """
+
+def corrected(a: np.ndarray, b: np.ndarray, zeros_a: np.ndarray, zeros_b: np.ndarray) -> np.ndarray:
+    """Likeness of pairs from rows of registers, less the agreement by chance: two unrelated minima with as many leading
+    zeros agree in their mantissa once in 2 ** MANTISSA times."""
     agree = (a == b).mean(1)
-    edges = 2.0 ** -np.arange(0, 40)
-    stays = [np.power(1 - edges[None, 1:], np.maximum(1, n / BUCKETS)[:, None]) for n in (n_a, n_b)]
-    stays = [np.hstack([np.zeros((len(s), 1)), s]) for s in stays]
-    chance = (np.diff(stays[0], axis=1) * np.diff(stays[1], axis=1)).sum(1) / (1 << MANTISSA)
+    chance = (zeros_a * zeros_b).sum(1) / (1 << MANTISSA)
     return (agree - chance) / (1 - chance)
 
 
+def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    return corrected(a, b, zeros_of(n_a), zeros_of(n_b))
+
+
+def worth(guess: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Is the estimate high enough for an exact check? It may be five standard errors low, and lower by what shingles of
+    small sets that fall into one bucket can hide. Sizes alone rule out others."""
+    wanted = percent / 100
+    few, many = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    return (guess >= wanted - 5 * np.sqrt(wanted * (1 - wanted) / BUCKETS) - 2 / few) & (few >= wanted * many)
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """The exact check, on sorted distinct hashes."""
+    both = len(a) + len(b) - len(np.union1d(a, b))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n, set_key, bands of every row."""
     out = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64()))])
@@ -111,13 +156,14 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                n, keys, bands = [], [], []
-                for text in batch.column(1):
-                    found = shingles(text.as_py(), width)
-                    n.append(len(found))
-                    keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(registers(found)) if len(found) else [])
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=out)
+                found = [shingles(text.as_py(), width) for text in batch.column(1)]
+                keys = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in found]
+                bands: list = [[]] * len(found)
+                full = [i for i, x in enumerate(found) if len(x)]
+                if full:
+                    for i, row in zip(full, band_keys(registers_of([found[i] for i in full])), strict=True):
+                        bands[i] = row
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([len(x) for x in found], pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], schema=out)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, set_key binary, bands array<long>")
 
@@ -169,108 +215,191 @@ def _neighbours(rows: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """id, registers, hashes of the documents with these ids."""
-    out = pa.schema([("id", pa.int64()), ("registers", pa.binary()), ("hashes", pa.binary())])
+    """id, n, registers, hashes of the documents with these ids."""
+    out = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("registers", pa.binary()), ("hashes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                found = [shingles(t.as_py(), width) for t in batch.column(1)]
-                signs = [registers(x).tobytes() if len(x) else b"" for x in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(signs, pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], schema=out)
+                found = [(i, x) for i, t in enumerate(batch.column(1)) if len(x := shingles(t.as_py(), width))]
+                if found:
+                    keep = pa.array([i for i, _ in found])
+                    signs = [x.tobytes() for x in registers_of([x for _, x in found])]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()).take(keep), pa.array([len(x) for _, x in found], pa.int64()), pa.array(signs, pa.binary()), pa.array([x.tobytes() for _, x in found], pa.binary())], schema=out)
 
-    return docs.select("doc_id", "text").join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(run, "id long, registers binary, hashes binary")
+    # rows that share an id are one document here, the one whose set is compared under it
+    return docs.select("doc_id", "text").join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").mapInArrow(run, "id long, n long, registers binary, hashes binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose full sets are alike. The estimate comes first: pairs of large sets that it puts
-    far below (over five standard errors) aren't compared."""
-    side = lambda s: sets.select(F.col("id").alias(s), F.col("registers").alias(f"r_{s}"), F.col("hashes").alias(f"h_{s}"))
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _kept_pairs(pairs: DataFrame, sets: DataFrame, columns: list[str], test: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The pairs (a, b) that pass the test, which sees these columns of a's set, then of b's."""
+    side = lambda s: sets.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                x = [batch.column(i) for i in range(6)]
-                hashes = [[np.frombuffer(v.as_buffer(), np.uint64) for v in c] for c in (x[3], x[5])]
-                n = [np.array([len(v) for v in c], float) for c in hashes]
-                signs = [np.stack([np.frombuffer(v.as_buffer(), np.uint16) for v in c]) for c in (x[2], x[4])]
-                guess = estimate(*signs, *n)
-                worth = (guess >= percent / 100 - 0.3) | (np.minimum(*n) < 64)
-                alike = np.zeros(batch.num_rows, bool)
-                for i in np.flatnonzero(worth):
-                    a, b = hashes[0][i], hashes[1][i]
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    alike[i] = 100 * both >= percent * (len(a) + len(b) - both)
-                keep = np.flatnonzero(alike)
-                yield pa.RecordBatch.from_arrays([x[0].take(pa.array(keep)), x[1].take(pa.array(keep))], schema=out)
-
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "r_a", "h_a", "r_b", "h_b")
+                keep = pa.array(np.flatnonzero(test(batch)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], schema=_PAIRS)
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{s}" for s in "ab" for c in columns])
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _named(pairs: DataFrame, components: DataFrame, side: str) -> DataFrame:
-    """pairs with the component of one side: its own id if it has no links."""
-    return pairs.join(components.select(F.col("id").alias(side), F.col("component").alias(f"_{side}")), side, "left").withColumn(f"c_{side}", F.coalesce(f"_{side}", side)).drop(f"_{side}")
+def _rows_of(column: pa.Array, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(v.as_buffer(), kind) for v in column]
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose full sets are alike. Registers come first: full sets are read only for pairs that
+    the corrected estimate lets through."""
+
+    def likely(batch: pa.RecordBatch) -> np.ndarray:
+        n = [batch.column(i).to_numpy().astype(float) for i in (2, 4)]
+        signs = [np.stack(_rows_of(batch.column(i), np.uint16)) for i in (3, 5)]
+        return worth(estimate(*signs, *n), *n, percent)
+
+    def exact(batch: pa.RecordBatch) -> np.ndarray:
+        return np.array([alike(a, b, percent) for a, b in zip(_rows_of(batch.column(2), np.uint64), _rows_of(batch.column(3), np.uint64), strict=True)], bool)
+
+    return _kept_pairs(_kept_pairs(pairs, sets, ["n", "registers"], likely), sets, ["hashes"], exact)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Whole groups, several at a time, of rows that are sorted by the first columns; no group is larger than two blocks."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        ends = [batch.column(i).to_numpy() for i in range(keys)]
+        changes = np.flatnonzero(np.any([x[1:] != x[:-1] for x in ends], axis=0))
+        opened = int(changes[-1]) + 1 if changes.size else 0
+        if not opened and len(held) > 1 and any(x[0].as_py() != y[0].as_py() for x, y in zip(held[-2].slice(held[-2].num_rows - 1).columns[:keys], batch.columns[:keys], strict=True)):
+            yield _joined(held[:-1])
+            held = held[-1:]
+        elif opened:
+            yield _joined([*held[:-1], batch.slice(0, opened)])
+            held = [batch.slice(opened)]
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def _starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
+    columns = [batch.column(i).to_numpy() for i in range(keys)]
+    return np.concatenate([[0], np.flatnonzero(np.any([x[1:] != x[:-1] for x in columns], axis=0)) + 1, [batch.num_rows]])
 
 
-def _across(members: DataFrame, families: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between members of different components of one family, at least one for every two that are linked.
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """key, x, y, id, component, mates: the members of groups (key, x, y) that the estimate takes for alike with members of
+    other components, and which these are, at most a block. A pair that shares several buckets shows up in its first.
 
-    Sizes are cut into classes so that a link joins equal or neighbouring ones. A class's queries (members outside the
-    family's largest component) and targets (all members) are dealt into blocks by a hash, and each pair of blocks is
-    one task's work: counts of shared shingles come from products of incidence matrices, a stretch of shingles at a
-    time. A block holds at most 512 queries and 2048 targets, fewer where sets are large.
+    rows: key, x, y, side, id, component, n, registers. side has 1 if a row is to be compared, 2 if others are compared
+    with it, and 4 if it is to be compared here or elsewhere, so that a pair of such is left to the one with the least id.
     """
-    step = 100 / percent * 1.001
-    rows = members.join(families.withColumnRenamed("component", "family"), "id").join(components, "id", "left").select("id", "n", "family", F.coalesce("component", "id").alias("component"))
-    rows = materialize(rows, "members")
-    sizes = rows.groupBy("family", "component").count()
-    mixed = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("_c"), F.max(F.struct("count", "component")).alias("_m")).filter("_c > 1").select("family", F.col("_m.component").alias("main"))
-    several = materialize(hot_join(rows, mixed, "family").withColumn("class", F.floor(F.log("n") / F.log(F.lit(step))).cast("int")), "mixed")
-    key = F.concat_ws(":", "family", "class").alias("key")
-    targets = materialize(several.select("id", "component", "class", key), "targets")
-    queries = several.filter("component <> main").withColumn("class", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
-    queries = materialize(queries.select("id", "component", "class", key), "queries")
-    room = lambda most, cells: F.least(F.lit(most), F.greatest(F.lit(8), (cells / F.pow(F.lit(step), F.col("class") + 1)).cast("int")))
-    blocks = queries.groupBy("key", "class").agg(F.count(F.lit(1)).alias("q")).join(targets.groupBy("key").agg(F.count(F.lit(1)).alias("t")), "key")
-    blocks = blocks.select("key", F.ceil(F.col("q") / room(512, 400_000)).cast("int").alias("nq"), F.ceil(F.col("t") / room(2048, 1_600_000)).cast("int").alias("nt"))
-    blocks = materialize(blocks, "blocks")
-    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    q = hot_join(queries, blocks, "key").select("id", "component", "key", place("nq").alias("x"), every("nt").alias("y"))
-    t = hot_join(targets, blocks, "key").select("id", "component", "key", every("nq").alias("x"), place("nt").alias("y"))
-    full = lambda: sets.select(F.col("id").alias("id"), F.col("hashes").alias("hashes"))
-
-    def compare(left, right):
-        import pandas as pd
-
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []})
-        parts = [np.frombuffer(h, np.uint64) for h in [*left["hashes"], *right["hashes"]]]
-        n = np.array([len(x) for x in parts])
-        owner = np.repeat(np.arange(len(parts)), n)
-        _, at, times = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        shared = times[at] > 1
-        owner, at = owner[shared], (np.cumsum(times > 1) - 1)[at[shared]]
-        order = np.argsort(at, kind="stable")
-        owner, at = owner[order], at[order]
-        k = len(left)
-        both = np.zeros((k, len(right)), np.float32)
-        for lo in range(0, int((times > 1).sum()), 4096):
-            a, b = np.searchsorted(at, [lo, lo + 4096])
-            there = np.zeros((len(parts), 4096), np.float32)
-            there[owner[a:b], at[a:b] - lo] = 1
-            both += there[:k] @ there[k:].T
-        union = n[:k, None] + n[None, k:] - both
-        own, other = left["component"].to_numpy(), right["component"].to_numpy()
-        i, j = np.nonzero((100 * both >= percent * union) & (own[:, None] != other[None]))
-        links = pd.DataFrame({"a": left["id"].to_numpy()[i], "b": right["id"].to_numpy()[j], "c": other[j]})
-        return links.drop_duplicates(["a", "c"])[["a", "b"]]
-
-    return q.join(full(), "id").groupBy("key", "x", "y").cogroup(t.join(full(), "id").groupBy("key", "x", "y")).applyInPandas(compare, "a long, b long")
+    schema = "key long, x int, y int, id long, component long, mates array<long>"
+    out = pa.schema([("key", pa.int64()), ("x", pa.int32()), ("y", pa.int32()), ("id", pa.int64()), ("component", pa.int64()), ("mates", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches, 3):
+            key, side, id_, own, n = (batch.column(i).to_numpy() for i in (0, 3, 4, 5, 6))
+            n = n.astype(float)
+            starts, pairs = _starts(batch, 3), []
+            for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                left, right = lo + np.flatnonzero(side[lo:hi] & 1), lo + np.flatnonzero(side[lo:hi] & 2)
+                i, j = np.nonzero(own[left][:, None] != own[right][None])
+                pairs.append((left[i], right[j]))
+            i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            once = ((side[j] & 4 == 0) | (id_[i] < id_[j])) & worth(np.ones(len(i)), n[i], n[j], percent)
+            i, j = i[once], j[once]
+            mates: dict[int, list[int]] = {}
+            if i.size:
+                signs = np.stack(_rows_of(batch.column(7), np.uint16))
+                bands, zeros = band_keys(signs), zeros_of(n)
+            for at in range(0, len(i), 4096):
+                a, b = i[at : at + 4096], j[at : at + 4096]
+                good = worth(corrected(signs[a], signs[b], zeros[a], zeros[b]), n[a], n[b], percent)
+                a, b = a[good], b[good]
+                first = bands[a, (bands[a] == bands[b]).argmax(1)] == key[a]
+                for one, other in zip(a[first].tolist(), b[first].tolist(), strict=True):
+                    mates.setdefault(one, []).append(id_[other])
+                    mates.setdefault(other, [])
+            keep = sorted(mates)
+            take = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in (0, 1, 2, 4, 5)), pa.array([mates[r] for r in keep], pa.list_(pa.int64()))], schema=out)
+
+    dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return dealt.select("key", "x", "y", "side", "id", "component", "n", "registers").mapInArrow(run, schema)
+
+
+def _checked(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among candidates: of each block, as many as it takes to join what is alike, by exact checks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _groups(batches, 3):
+            id_, own = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            mates, hashes = batch.column(5).to_pylist(), _rows_of(batch.column(6), np.uint64)
+            starts = _starts(batch, 3)
+            links: list[tuple[int, int]] = []
+            for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                place: dict[int, list[int]] = {}
+                for i in range(lo, hi):
+                    place.setdefault(int(id_[i]), []).append(i)
+                root = {int(own[i]): int(own[i]) for i in range(lo, hi)}
+
+                def find(c: int, root: dict[int, int] = root) -> int:
+                    while root[c] != c:
+                        root[c] = c = root[root[c]]
+                    return c
+
+                for i in range(lo, hi):
+                    for mate in mates[i]:
+                        a, b = find(int(own[i])), find(int(own[place[mate][0]]))
+                        if a != b and any(alike(hashes[i], hashes[j], percent) for j in place[mate]):
+                            root[max(a, b)] = min(a, b)
+                            links.append((int(id_[i]), mate))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], schema=_PAIRS)
+
+    full = found.join(sets.select("id", "hashes"), "id").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return full.select("key", "x", "y", "id", "component", "mates", "hashes").mapInArrow(run, "a long, b long")
+
+
+def _across(found: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components, enough to join all that are linked.
+
+    found: key, id of buckets' members. In each bucket the members outside its commonest component are compared with all
+    members. A bucket of up to BLOCK members is one group; larger ones are dealt into blocks of about that size, and
+    each pair of blocks is a group. Of a group, registers are compared first; full sets are fetched for members of pairs
+    that the estimate lets through, and only links come out, fewer than the group has members.
+    """
+    named = found.select("key", "id").join(components, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    named = materialize(named, "named")
+    sizes = named.groupBy("key", "component").count()
+    mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("_c"), F.sum("count").alias("_t"), F.max(F.struct("count", "component")).alias("_m")).filter("_c > 1")
+    mixed = materialize(mixed.select("key", F.col("_m.component").alias("main"), (F.col("_t") - F.col("_m.count")).alias("q"), F.col("_t").alias("t")), "mixed")
+    members = materialize(hot_join(named, mixed, "key"), "members")
+    whole, ours = F.col("t") <= BLOCK, F.col("component") != F.col("main")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    place = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    one = members.filter(whole).select("key", F.lit(0).alias("x"), F.lit(0).alias("y"), F.when(ours, 7).otherwise(2).alias("side"), "id", "component")
+    left = members.filter(~whole & ours).select("key", place("q").alias("x"), every("t").alias("y"), F.lit(5).alias("side"), "id", "component")
+    right = members.filter(~whole).select("key", every("q").alias("x"), place("t").alias("y"), F.when(ours, 6).otherwise(2).alias("side"), "id", "component")
+    rows = materialize(one.unionByName(left).unionByName(right), "blocks")
+    signed = hot_join(rows, sets.select("id", "n", "registers"), "id")
+    candidates = materialize(_candidates(signed, percent), "candidates")
+    links = materialize(_checked(candidates, sets, percent), "links-across")
+    for old in (named, mixed, members, rows, candidates):
+        discard(old)
+    return links
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -279,14 +408,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Words are lower-cased (A-Z) and parted by ASCII white space; a set has the distinct runs of width words. Documents
     with 100 * intersection >= percent * union are linked, and component_id is the least doc_id that links reach.
     Documents without words are linked with nothing. A null doc_id has no component and is kept; rows with one doc_id
-    count as one document. An empty table gives an empty result.
+    count as one document. An empty table gives an empty result. Long texts are read whole; other columns are not read.
 
     Equal sets are one class, which its least id stands for. Classes that share a band's bucket are candidates. Each
-    class is first compared with one neighbour, the one before it in most of its buckets; then with its other
-    neighbours that are still in another component. Buckets that share members are a family. In families that hold
-    several components, all members outside the largest one are compared with the members of other components, in
-    blocks of matching sizes and bounded memory, of which only links come out; so no candidate link is lost, and the
-    members of a large group aren't compared all with all. Nothing is gathered on the driver.
+    class is first compared with the neighbours that precede it in most of its buckets; then, bucket by bucket, members
+    that are still in different components are compared, in blocks of bounded size. Registers decide which pairs are
+    worth an exact check, so full sets are read for few; of each block only as many links come out as it takes to join
+    it. No candidate link is lost, no pair is compared that shares no bucket, and nothing is gathered on the driver.
     """
     ship(docs.sparkSession)
     signed = materialize(_signed(docs, width), "signed")
@@ -297,25 +425,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     edges = found.filter("edge > 0").withColumn("_was", F.lag(F.struct("key", "id")).over(Window.orderBy("key", "id", "edge")))
     stitched = edges.filter((F.col("edge") % 2 == 1) & (F.col("_was.key") == F.col("key")) & (F.col("_was.id") != F.col("id"))).select("id", F.col("_was.id").alias("prev"))
     neighbours = found.filter("prev is not null").select("id", "prev").unionByName(stitched)
-    best = neighbours.groupBy("id", "prev").count().groupBy("id").agg(F.max(F.struct("count", -F.col("prev"))).alias("m")).select(F.col("id").alias("a"), (-F.col("m")["col2"]).alias("b"))
+    ranked = neighbours.groupBy("id", "prev").count().groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "prev")), False), 1, FIRST).alias("m"))  # at most BANDS in a list
+    pairs = ranked.select(F.col("id").alias("a"), F.explode("m.prev").alias("b"))
     sets = materialize(_sets(docs, found.select("id").distinct(), width), "sets")
-    first = materialize(_verified(best, sets, percent), "links-first")
-    stars = materialize(connected_components(first, contract=True), "components-first")
-
-    # the other neighbours that are still in different components
-    rest = _named(_named(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b")).distinct(), stars, "a"), stars, "b")
-    second = materialize(_verified(rest.filter("c_a <> c_b").select("a", "b"), sets, percent), "links-second")
-    links = materialize(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second), "links-both")
-    stars2 = materialize(connected_components(links, contract=True), "components-second")
-    families = materialize(connected_components(neighbours.select(F.col("id").alias("a"), F.col("prev").alias("b")), contract=True), "families")
-    last = _across(found.select("id", "n").distinct(), families, stars2, sets, percent)
-    components = connected_components(links.unionByName(last), contract=True)
+    first = materialize(_verified(pairs, sets, percent), "links-first")
+    stars = connected_components(first, contract=True)
+    last = _across(found, stars, sets, percent)
+    links = stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(last)
+    components = connected_components(links, contract=True)
 
     of_class = classes.select("set_key", F.col("c.doc_id").alias("id")).join(components, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     of_class = materialize(of_class, "classes")
-    for old in (found, sets, first, second, stars, stars2, families, links):
-        discard(old)
     rows = signed.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
-    joined = hot_join(materialize(rows, "rows"), of_class, "set_key", "left")
+    rows = materialize(rows, "rows")
+    for old in (signed, found, sets, first, stars, last, components):
+        discard(old)
+    joined = hot_join(rows, of_class, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

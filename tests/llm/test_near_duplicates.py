@@ -111,7 +111,7 @@ def test_neighbours_over_any_partitions(spark):
     assert {(r["key"], r["id"]) for r in found} >= {(k, i) for k, ids in members.items() if len(ids) > 1 for i in ids}
 
 
-@pytest.mark.parametrize("share", [None, 500_000, 100])
+@pytest.mark.parametrize("share", [None, 500_000, 20])
 def test_components_of_chains_and_stars(spark, share, monkeypatch):
     monkeypatch.setattr(common, "TASK_LINKS", share)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, x) for x in range(1001, 1400)] + [(5, 5), (None, 3)] + [(2000, 2001)] * 3
@@ -136,3 +136,64 @@ def test_hot_join_on_binary_keys(spark):
     values = spark.createDataFrame([(bytearray(b"k"), "one"), (bytearray(b"\x03"), "three")], "k binary, w string")
     got = hot_join(rows, values, "k", "left", threshold=20).collect()
     assert len(got) == 90 and sum(r["w"] == "one" for r in got) == 60 and sum(r["w"] == "three" for r in got) == 1
+
+
+def test_sparse_and_dense_sets_borrow_alike(monkeypatch):
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 24, 40, 300, 3000):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        got = minhash.registers(a)
+        filled = {int(h >> np.uint64(55)): h for h in a[::-1]}
+        for bucket in range(0, minhash.BUCKETS, 37):
+            seen = next(x for x in [bucket, *minhash._PROBE[bucket].tolist()] if x in filled)
+            rest = (int(filled[seen]) & ((1 << 55) - 1)) >> 2
+            assert got[bucket] >> minhash.MANTISSA == 53 - rest.bit_length()
+
+
+def test_repeated_ids_share_a_class(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(30)) for k in "abc")
+    rows = [(5, a), (5, b), (7, b + " end"), (2, a + " end"), (9, c)]
+    got = sorted((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(2, 2), (5, 2), (5, 2), (7, 2), (9, 9)]
+
+
+def test_boilerplate_is_compared_by_bucket_only(spark, monkeypatch):
+    """Documents that share over half of their shingles but aren't linked: few share a bucket, and of those the registers
+    sort out nearly all before a full set is read."""
+    rng = random.Random(11)
+    shared = [f"s{i}" for i in range(90)]
+    docs = [(i, " ".join(shared + [f"w{rng.randrange(10**6)}" for _ in range(70)])) for i in range(2000)]
+    docs += [(5000 + i, docs[i][1] + " tail") for i in range(5)]
+    seen = {}
+    real_candidates, real_checked = minhash._candidates, minhash._checked
+    monkeypatch.setattr(minhash, "_candidates", lambda rows, percent: real_candidates(seen.setdefault("rows", rows.cache()), percent))
+    monkeypatch.setattr(minhash, "_checked", lambda found, sets, percent: real_checked(seen.setdefault("found", found.cache()), sets, percent))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {i: i - 5000 if i >= 5000 else i for i, _ in docs}
+    keys = dict(zip((i for i, _ in docs), minhash.band_keys(minhash.registers_of([minhash.shingles(t, 5) for _, t in docs])).tolist(), strict=True))
+    rows = seen["rows"].select("key", "x", "y", "id").collect()
+    assert all(r["key"] in keys[r["id"]] for r in rows)
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r["key"], r["x"], r["y"]] += 1
+    assert max(sizes.values()) <= 3 * minhash.BLOCK
+    assert sum(n * n for n in sizes.values()) < len(docs) ** 2 / 4
+    assert seen["found"].count() < 50
+
+
+@pytest.mark.parametrize("block", [4, 128])
+def test_large_buckets_in_blocks_of_any_size(spark, monkeypatch, block):
+    """A star: copies that are alike with the middle only, so that few are neighbours in a bucket."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "FIRST", 1)
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(100)]
+    docs = [(50, " ".join(base))]
+    for i in range(60):
+        text = list(base)
+        for at in rng.sample(range(100), 4):
+            text[at] = f"x{i}.{at}"
+        docs.append((100 + i, " ".join(text)))
+    docs += [(300 + i, " ".join(f"o{i}.{k}" for k in range(40))) for i in range(10)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 2, 80).collect()}
+    assert got == brute_force(docs, 2, 80)
