@@ -111,8 +111,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, contract: bool
 
     Alternates the two star operations (every node links its larger neighbours, then its smaller ones, to the smallest
     neighbour) until the links no longer change; then each node points at its root. Minima are pre-aggregated before
-    they are shuffled, hot nodes are joined by broadcast, every round is written to the shared folder, and only counts
-    reach the driver. Null ends and self-links are ignored; no links give no rows. The result is a written table.
+    they are shuffled, the joins with them are ones that Spark splits where a node is hot, every round is written to the
+    shared folder, and only counts reach the driver. Null ends and self-links are ignored; no links give no rows. The result is a written table.
 
     contract (for long ids, in Python): links are first dealt over LEAST_TASKS tasks or more, of at most TASK_LINKS
     each, which turn theirs into stars, from which the rounds go on.
@@ -131,13 +131,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, contract: bool
             discard(links)
             return pointing
         signature = stamp
-        both = materialize(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))), "both")
+        both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = materialize(hot_join(both, least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        large = materialize(both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = hot_join(large, down, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
+        small = large.join(down, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").filter("a <> b").distinct()
         following = materialize(small, "links")
-        for old in (links, both, large):
+        for old in (links, large):
             discard(old)
         links = following
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
