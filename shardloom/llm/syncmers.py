@@ -5,9 +5,11 @@ Whether a stretch is one depends on its own characters alone, so an edit changes
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 
 from shardloom.llm.common import ship
 
-K, S, ANCHORS = 12, 5, 64
+K, S = 12, 5
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _FIRST = -(1 << 63)
 
 
@@ -37,63 +40,131 @@ def _stretches(x: np.ndarray, width: int) -> np.ndarray:
     return _mix(out)
 
 
-def anchors(text: str | None, k: int = K, s: int = S, most: int = ANCHORS) -> list[tuple[int, int]]:
-    """(place, hash) of the closed syncmers with the least hashes, each hash at its first place, in order of place.
+def _syncmers(x: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and 32-bit hashes of all closed syncmers of a sequence of code points."""
+    if len(x) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+    inner = _stretches(x, s)
+    width = k - s + 1
+    n = len(x) - k + 1
+    least, have = inner, 1
+    while have < width:
+        step = min(have, width - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    closed = np.flatnonzero((inner[:n] == least) | (inner[width - 1 : width - 1 + n] == least))
+    # a hash of k characters from those of its two ends and middle, which cover it
+    parts = inner[closed] ^ inner[closed + k - s] * np.uint64(3) * _ODD + inner[closed + (k - s + 1) // 2] * np.uint64(5) * _ODD
+    return closed, (_mix(parts) >> np.uint64(32)).astype(np.uint32)
 
-    All syncmers of the whole text compete; the sketch keeps as many as a fingerprint holds. A text of fewer than k
-    characters, or without a syncmer, is one anchor of its own; an empty text has none.
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+
+
+@dataclass
+class Anchors:
+    """All anchors of a text, in order of place, repeats included."""
+
+    places: np.ndarray
+    hashes: np.ndarray
+
+    def keys(self) -> np.ndarray:
+        """Hash and how often it has occurred before, which names every anchor once."""
+        order = np.argsort(self.hashes, kind="stable")
+        ordered = self.hashes[order]
+        begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        nth = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
+        out = np.empty(len(order), np.uint64)
+        out[order] = ordered.astype(np.uint64) << np.uint64(32) | nth.astype(np.uint64)
+        return out
+
+
+def _or_whole(text: str, places: np.ndarray, hashes: np.ndarray) -> Anchors:
+    if text and not len(places):
+        return Anchors(np.zeros(1, np.int64), np.frombuffer(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "<u4"))
+    return Anchors(places, hashes)
+
+
+def anchors(text: str | None, k: int = K, s: int = S) -> Anchors:
+    """The closed syncmers of the whole text: place and hash of each.
+
+    A text of fewer than k characters is one anchor of its own; an empty text has none.
+    """
+    return _or_whole(text or "", *_syncmers(_points(text or ""), k, s))
+
+
+def edited_anchors(own: Anchors, text: str, kept: int, k: int = K, s: int = S) -> Anchors:
+    """anchors(text), where own are those of a text that has its first characters, kept of them, in common with it.
+
+    Being free of context, anchors within the kept characters stay; only those that reach beyond are found anew.
     """
-    if not text:
-        return []
-    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
-    if len(x) >= k:
-        inner = _stretches(x, s)
-        width = k - s + 1
-        n = len(x) - k + 1
-        least, have = inner, 1
-        while have < width:
-            step = min(have, width - have)
-            least = np.minimum(least[:-step], least[step:])
-            have += step
-        closed = np.flatnonzero((inner[:n] == least) | (inner[width - 1 : width - 1 + n] == least))
-        if closed.size:
-            # a hash of k characters from those of its two ends and middle, which cover it
-            parts = inner * np.uint64(0x9E3779B97F4A7C15)
-            whole = _mix(inner[closed] ^ np.roll(parts, -(k - s))[closed] * np.uint64(3) + np.roll(parts, -((k - s + 1) // 2))[closed] * np.uint64(5)) >> np.uint64(32)
-            if len(whole) > 4 * most:
-                few = whole <= np.partition(whole, 4 * most)[4 * most]
-                kept, first = np.unique(whole[few], return_index=True)
-                first = np.flatnonzero(few)[first]
-                if len(kept) < most:
-                    kept, first = np.unique(whole, return_index=True)
-            else:
-                kept, first = np.unique(whole, return_index=True)
-            places = closed[first[:most]]
-            return sorted(zip(places.tolist(), kept[:most].tolist(), strict=True))
-    return [(0, int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "big"))]
-
-
-def fingerprint(found: list[tuple[int, int]]) -> str:
-    """Anchors as text: place:hash in hexadecimal, joined by dots."""
-    return ".".join(f"{place:x}:{value:08x}" for place, value in found)
-
-
-def parse(text: str) -> list[tuple[int, int]]:
-    return [(int(a, 16), int(b, 16)) for a, _, b in (x.partition(":") for x in text.split("."))] if text else []
-
-
-def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]], most: int = ANCHORS) -> float:
-    """0 to 1: of the least anchors of both together, the share that both have, in the same order of places."""
-    if not a or not b:
-        return float(a == b)
-    in_a, in_b = {h: p for p, h in a}, {h: p for p, h in b}
-    union = sorted(in_a.keys() | in_b.keys())[:most]
-    shared = sorted((in_a[h], in_b[h]) for h in union if h in in_a and h in in_b)
+    if kept < k:
+        return anchors(text, k, s)
+    stay = np.searchsorted(own.places, kept - k, "right")
+    begin = kept - k + 1
+    places, hashes = _syncmers(_points(text[begin:]), k, s)
+    return _or_whole(text, np.concatenate([own.places[:stay], places + begin]), np.concatenate([own.hashes[:stay], hashes]))
+
+
+def fingerprint(found: Anchors) -> str:
+    """All anchors as text: base64 of each one's distance from the one before (as a run of sevens of bits, the lowest
+    first, the high bit set where more follow) and of its hash (four bytes, the lowest first)."""
+    steps = np.diff(found.places, prepend=0)
+    if (steps < 128).all():
+        out = np.empty((len(steps), 5), np.uint8)
+        out[:, 0] = steps
+        out[:, 1:] = np.ascontiguousarray(found.hashes, "<u4").view(np.uint8).reshape(-1, 4)
+        return base64.b64encode(out.tobytes()).decode()
+    data = bytearray()
+    for step, value in zip(steps.tolist(), found.hashes.tolist(), strict=True):
+        while step >= 128:
+            data.append(step & 127 | 128)
+            step >>= 7
+        data.append(step)
+        data += value.to_bytes(4, "little")
+    return base64.b64encode(data).decode()
+
+
+def parse(text: str) -> Anchors:
+    """The anchors of a fingerprint."""
+    data, places, hashes, at, place = base64.b64decode(text), [], [], 0, 0
+    while at < len(data):
+        step = shift = 0
+        while True:
+            step |= (data[at] & 127) << shift
+            shift += 7
+            at += 1
+            if data[at - 1] < 128:
+                break
+        place += step
+        places.append(place)
+        hashes.append(int.from_bytes(data[at : at + 4], "little"))
+        at += 4
+    return Anchors(np.array(places, np.int64), np.array(hashes, np.uint32))
+
+
+def likeness(a: Anchors, b: Anchors) -> float:
+    """0 to 1: of all anchors of both together, the share that both have in the same order of places.
+
+    The nth occurrence of a hash in one text is matched with the nth in the other.
+    """
+    if not len(a.places) or not len(b.places):
+        return float(len(a.places) == len(b.places))
+    _, in_a, in_b = np.intersect1d(a.keys(), b.keys(), assume_unique=True, return_indices=True)
+    there = in_b[np.argsort(in_a)]
+    ordered = len(there) if (there[1:] > there[:-1]).all() else _longest_rising(there.tolist())
+    return ordered / (len(a.places) + len(b.places) - len(there))
+
+
+def _longest_rising(values: list[int]) -> int:
     chain: list[int] = []
-    for _, place in shared:
-        at = bisect_left(chain, place)
-        chain[at : at + 1] = [place]
-    return len(chain) / len(union)
+    for value in values:
+        if not chain or value > chain[-1]:
+            chain.append(value)
+        else:
+            chain[bisect_left(chain, value)] = value
+    return len(chain)
 
 
 def likeness_of(a: str, b: str) -> float:
@@ -108,6 +179,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     the first one after the last; a table of one document has itself next. Null texts count as empty. An empty table
     gives an empty result.
 
+    Fingerprints hold all anchors of the whole texts, and likeness is that of all anchors. Long texts take memory in
+    proportion to the longest one; repeated rows (an id and a text) each have the row after them next, like equal ids;
+    other columns are not read.
+
     Ids are cut at quantiles into ranges, which are dealt out whole and sorted; a copy of the document after its last
     one goes along with each range. So a text is moved once, and no range is held in memory.
     """
@@ -150,7 +225,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                         n = len(its_text)
                         q = n // 4
                         edited = its_text[: n - q] + text[:q]
-                        changed = anchors(edited)
+                        changed = edited_anchors(its, edited, n - q)
                         found.append((its_id, n, hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), fingerprint(its), fingerprint(changed), likeness(its, changed), likeness(its, mine[4])))
                     last = mine
                 if found:
