@@ -73,6 +73,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+
+
+def _fences_sql(name: str, keys: str) -> str:
+    """Outer fence over values that aren't zero (o, a bucket, of k values), inner fences over all (a, z, of n values)."""
+    low, high, low_some, high_some = (f"quantile_disc({x}" for x in ("top, 0.25)", "top, 0.75)", "bk, 0.25) FILTER (bk > 0)", "bk, 0.75) FILTER (bk > 0)"))
+    return f"""{name} AS (SELECT {keys}, count(*) AS n, count(*) FILTER (bk > 0) AS k, coalesce({high_some} + 3 * ({high_some} - {low_some}), 0) AS o,
+  {low} - 3 * ({high} - {low}) // 2 AS a, {high} + 3 * ({high} - {low}) // 2 AS z FROM u GROUP BY {keys})"""
+
+
+def _drawn_sql(own: str, wider: str) -> str:
+    """Limits drawn towards the wider group's, rounded down (a may be below zero)."""
+    drawn = lambda x, n: f"CAST(floor(({own}.{n} * {own}.{x} + {rules.PRIOR} * {wider}.{x}) / ({own}.{n} + {rules.PRIOR})) AS BIGINT) AS {x}"
+    return ", ".join([drawn("o", "k"), drawn("a", "n"), drawn("z", "n")])
+
+
 OP5_SQL = rf"""WITH b AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS l, coalesce('=' || source, '-') AS s, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
  win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM b)),
  rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM win) WHERE c > 1),
@@ -83,10 +98,10 @@ OP5_SQL = rf"""WITH b AS (SELECT row_number() OVER () AS r, doc_id, coalesce('='
  v AS (SELECT r, l, s, unnest([{{'m': 'a', 'v': 10000 * n_symbols // greatest(word_chars, 1)}}, {{'m': 'b', 'v': 10000 * n_dup_lines // greatest(n_lines, 1)}}, {{'m': 'c', 'v': 10000 * n_repeat_words // greatest(n_words, 1)}}, {{'m': 'd', 'v': 100 * word_chars // greatest(n_words, 1)}}], recursive := true) FROM m),
  k AS (SELECT *, CASE WHEN v < 32 THEN v ELSE 16 * (length(bin(v)) - 5) + v // (1::BIGINT << (length(bin(v)) - 5)::BIGINT) END AS bk FROM v),
  u AS (SELECT *, CASE WHEN bk < 32 THEN bk ELSE (bk % 16 + 17) * (1::BIGINT << (bk // 16 - 1)::BIGINT) - 1 END AS top FROM k),
- q1 AS (SELECT l, s, m, count(*) AS n, quantile_disc(top, 0.25) AS lo, quantile_disc(top, 0.75) AS hi FROM u GROUP BY l, s, m), q2 AS (SELECT l, m, count(*) AS n, quantile_disc(top, 0.25) AS lo, quantile_disc(top, 0.75) AS hi FROM u GROUP BY l, m), q3 AS (SELECT m, quantile_disc(top, 0.25) AS lo, quantile_disc(top, 0.75) AS hi FROM u GROUP BY m),
- q AS (SELECT q1.l, q1.s, q1.m, CASE WHEN q1.n >= 100 THEN q1.lo WHEN q2.n >= 100 THEN q2.lo ELSE q3.lo END AS lo, CASE WHEN q1.n >= 100 THEN q1.hi WHEN q2.n >= 100 THEN q2.hi ELSE q3.hi END AS hi FROM q1 JOIN q2 ON q1.l = q2.l AND q1.m = q2.m JOIN q3 ON q1.m = q3.m),
- lim AS (SELECT l, s, m, hi + greatest(3 * (hi - lo), CASE m WHEN 'a' THEN 500 WHEN 'b' THEN 3000 WHEN 'c' THEN 1500 ELSE 300 END) AS most, CASE WHEN m = 'd' THEN lo - greatest(3 * (hi - lo), 250) ELSE -1 END AS least FROM q),
- ok AS (SELECT r, bool_and(v <= most AND v >= least) AS ok FROM v JOIN lim USING (l, s, m) GROUP BY r)
+ {_fences_sql("q1", "l, s, m")}, {_fences_sql("q2", "l, m")}, {_fences_sql("q3", "m")},
+ w AS (SELECT l, m, {_drawn_sql("q2", "q3")} FROM q2 JOIN q3 USING (m)),
+ lim AS (SELECT l, s, m, {_drawn_sql("q1", "w")} FROM q1 JOIN w USING (l, m)),
+ ok AS (SELECT r, bool_and(bk <= o) AND NOT bool_and(v < a OR v > z) FILTER (m IN ('a', 'd')) AS ok FROM k JOIN lim USING (l, s, m) GROUP BY r)
  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed, (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ok) AS kept FROM m JOIN ok USING (r)"""
 
 #: The tables' pages have no redirects or canonical links, so every page is its own alias here; links are tested against

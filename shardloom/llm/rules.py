@@ -11,13 +11,19 @@ from shardloom.llm.common import materialize
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-#: Metric -> (expression in ten-thousandths or hundredths, least spread above the quartile, least spread below or none).
+#: Metric -> its value, in ten-thousandths or hundredths.
 METRICS = {
-    "symbols": ("cast(10000 * n_symbols / greatest(word_chars, 1) as long)", 500, None),
-    "dup_lines": ("cast(10000 * n_dup_lines / greatest(n_lines, 1) as long)", 3000, None),
-    "repeats": ("cast(10000 * n_repeat_words / greatest(n_words, 1) as long)", 1500, None),
-    "word_length": ("cast(100 * word_chars / greatest(n_words, 1) as long)", 300, 250),
+    "symbols": "cast(10000 * n_symbols / greatest(word_chars, 1) as long)",
+    "dup_lines": "cast(10000 * n_dup_lines / greatest(n_lines, 1) as long)",
+    "repeats": "cast(10000 * n_repeat_words / greatest(n_words, 1) as long)",
+    "word_length": "cast(100 * word_chars / greatest(n_words, 1) as long)",
 }
+#: The metrics that together reject a document which is outside the inner fences of both.
+TOGETHER = ("symbols", "word_length")
+#: So many values of the wider group weigh as much as a group's own, whatever its size.
+PRIOR = 20
+#: Limits of a metric: the outer fence, beyond which it decides alone, as a sketch's bucket; the inner fences as values.
+LIMITS = ("outer_most", "inner_least", "inner_most")
 
 
 def text_metrics(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -64,44 +70,60 @@ def bucket_top(bucket: Column) -> Column:
     return F.when(bucket < 32, bucket.cast("double")).otherwise((bucket % 16 + 17) * F.pow(F.lit(2.0), shift) - 1).cast("long")
 
 
-def thresholds(metrics: DataFrame, least_rows: int = 100) -> DataFrame:
-    """lang, source, and for each metric the highest (and lowest) accepted value; a row for every language and source.
+def thresholds(metrics: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """lang, source, and for each metric the columns of LIMITS; a row for every language and source.
 
-    A group with fewer than least_rows documents takes the merged sketch of its language, and a small language that of
-    the whole table. Accepted are values up to the third quartile and three times the quartiles' distance (at least the
-    metric's least spread) beyond it, and likewise below the first.
+    Fences stand off from the quartiles by multiples of their distance. Outer fences are three distances above the third
+    quartile of the values that aren't zero, counted in the sketch's buckets, so by ratio, as such shares are skewed;
+    inner fences one and a half beyond either quartile of all values. A group's
+    limit is drawn towards that of its language, and a language's towards that of the whole table, as if the wider one
+    had been seen prior times: (n * own + prior * wider) / (n + prior), rounded down. So no size switches anything, and
+    a group of one document has nearly its language's limits.
     """
-    values = F.array(*[F.struct(F.lit(name).alias("metric"), F.expr(expression).alias("value")) for name, (expression, _, _) in METRICS.items()])
+    values = F.array(*[F.struct(F.lit(name).alias("metric"), F.expr(expression).alias("value")) for name, expression in METRICS.items()])
     long = metrics.select("_lang", "_source", F.explode(values).alias("m")).select("_lang", "_source", "m.metric", sketch_bucket(F.col("m.value")).alias("bucket"))
     base = materialize(long.groupBy("_lang", "_source", "metric", "bucket").agg(F.count(F.lit(1)).alias("n")), "sketches")
 
-    def quartiles(keys: list[str], tag: str) -> DataFrame:
-        merged = base.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
+    def fences(keys: list[str], tag: str) -> DataFrame:
+        merged = base.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n")).withColumn("some", F.when(F.col("bucket") > 0, F.col("n")).otherwise(0))
         by = Window.partitionBy(*keys, "metric")
-        ranked = merged.withColumns({"upto": F.sum("n").over(by.orderBy("bucket")), "total": F.sum("n").over(by)})
-        at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("bucket")))
-        found = ranked.groupBy(*keys, "metric").agg(F.max("total").alias("rows"), bucket_top(at(1)).alias("low"), bucket_top(at(3)).alias("high"))
-        out = found.filter(F.col("rows") >= least_rows) if keys else found
-        return out.select(*keys, "metric", F.struct("low", "high").alias(tag))
-
-    groups = base.select("_lang", "_source", "metric").distinct()
-    best = groups.join(quartiles(["_lang", "_source"], "own"), ["_lang", "_source", "metric"], "left").join(quartiles(["_lang"], "wide"), ["_lang", "metric"], "left").join(F.broadcast(quartiles([], "all")), "metric")
-    q = F.coalesce("own", "wide", "all")
-    spread = q["high"] - q["low"]
-    table = F.create_map(*[F.lit(x) for name, (_, up, down) in METRICS.items() for x in (name, up)])
-    down = F.create_map(*[F.lit(x) for name, (_, up, down) in METRICS.items() for x in (name, -1 if down is None else down)])
-    limits = best.select("_lang", "_source", "metric", (q["high"] + F.greatest(3 * spread, table[F.col("metric")].cast("long"))).alias("most"), F.when(down[F.col("metric")] >= 0, q["low"] - F.greatest(3 * spread, down[F.col("metric")].cast("long"))).alias("least"))
-    pick = lambda name, side: F.max(F.when(F.col("metric") == name, F.col(side))).alias(f"{name}_{side}")
-    return limits.groupBy("_lang", "_source").agg(*[pick(name, side) for name, (_, _, down) in METRICS.items() for side in (["most"] if down is None else ["most", "least"])])
+        ranked = merged.withColumns({f"{what}_{c}": F.sum(c).over(w) for c in ("n", "some") for what, w in (("upto", by.orderBy("bucket")), ("total", by))})
+        at = lambda c, q: F.min(F.when((F.col(f"upto_{c}") * 4 >= F.col(f"total_{c}") * q) & ((F.lit(c) == "n") | (F.col("bucket") > 0)), F.col("bucket")))
+        low, high, low_some, high_some = bucket_top(at("n", 1)), bucket_top(at("n", 3)), at("some", 1), at("some", 3)
+        half = lambda x: F.floor(x / 2)
+        limits = [F.coalesce(high_some + 3 * (high_some - low_some), F.lit(0)), low - half(3 * (high - low)), high + half(3 * (high - low))]
+        sizes = [F.max("total_some"), F.max("total_n"), F.max("total_n")]
+        return ranked.groupBy(*keys, "metric").agg(F.array(*[x.cast("long") for x in limits]).alias(tag), F.array(*sizes).alias(f"n_{tag}"))
+
+    def drawn(own: str, wider: Column) -> Column:
+        return F.transform(F.arrays_zip(F.col(own).alias("own"), F.col(f"n_{own}").alias("n"), wider.alias("wider")), lambda x: F.floor((x["n"] * x["own"] + prior * x["wider"]) / (x["n"] + prior)))
+
+    wide = fences(["_lang"], "wide").join(F.broadcast(fences([], "all")), "metric").select("_lang", "metric", drawn("wide", F.col("all")).alias("wide"))
+    best = fences(["_lang", "_source"], "own").join(wide, ["_lang", "metric"]).select("_lang", "_source", "metric", drawn("own", F.col("wide")).alias("limits"))
+    pick = lambda name, i: F.max(F.when(F.col("metric") == name, F.col("limits")[i])).alias(f"{name}_{LIMITS[i]}")
+    return best.groupBy("_lang", "_source").agg(*[pick(name, i) for name in METRICS for i in range(len(LIMITS))])
+
+
+def accepted() -> Column:
+    """The adaptive verdict over metrics joined with their group's limits."""
+    value = {name: F.expr(expression) for name, expression in METRICS.items()}
+    alone = [sketch_bucket(value[name]) <= F.col(f"{name}_outer_most") for name in METRICS]
+    inside = [value[name].between(F.col(f"{name}_inner_least"), F.col(f"{name}_inner_most")) for name in TOGETHER]
+    out = inside[0] | inside[1]
+    for fits in alone:
+        out = out & fits
+    return out
 
 
 def apply_rules(docs: DataFrame, most_broadcast: int = 20_000, salts: int = 64) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
     Null texts have no words; null languages or sources are groups of their own; a null doc_id stays one. Repeated rows
-    count as often as they occur. kept is false for base_failed documents, else the verdict of the adaptive thresholds.
-    An empty table gives an empty result. The thresholds' table is broadcast if it has at most most_broadcast rows;
-    beyond that every key is dealt over salts, so that a hot source is spread.
+    count as often as they occur. kept is false for base_failed documents, else the verdict of the adaptive thresholds:
+    a document goes if any metric is beyond its outer fence, or symbols and word length are both outside their inner
+    ones. Other columns are not read, long texts are counted whole, and an empty table gives an empty result. The
+    thresholds' table is broadcast if it has at most most_broadcast rows; beyond that every key is dealt over salts, so
+    that a hot source is spread.
     """
     # a null is told from the texts '-' and so on by a leading mark
     named = docs.select("doc_id", "text", F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("-")).alias("_lang"), F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-")).alias("_source"))
@@ -112,10 +134,5 @@ def apply_rules(docs: DataFrame, most_broadcast: int = 20_000, salts: int = 64)
     else:
         salted = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         joined = metrics.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(salts)).cast("int")).join(salted, ["_lang", "_source", "_salt"])
-    accepted = F.lit(True)
-    for name, (expression, _, down) in METRICS.items():
-        accepted = accepted & (F.expr(expression) <= F.col(f"{name}_most"))
-        if down is not None:
-            accepted = accepted & (F.expr(expression) >= F.col(f"{name}_least"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & accepted).alias("kept"))
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & accepted()).alias("kept"))

@@ -143,11 +143,48 @@ def test_sketch_keeps_quantiles(spark):
     assert [b for _, b in ordered] == sorted(b for _, b in ordered)
 
 
+KIND5 = "doc_id long, text string, lang string, source string"
+
+
+def noted(n, symbols):
+    words = [rng.choice(LANG["en"]) + str(rng.randrange(10**6)) for _ in range(n)]
+    for at in rng.sample(range(n), symbols):
+        words[at] += "$"
+    return " ".join(words)
+
+
 def test_junk_fails_and_clean_stays(spark):
-    clean = [(i, sentence("en", 80), "en", "s") for i in range(150)]
-    junk = [(1000 + i, " ".join(w + "***" for w in sentence("en", 80).split()), "en", "s") for i in range(8)]
-    got = {r["doc_id"]: r["kept"] for r in rules.apply_rules(spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")).collect()}
-    assert not any(got[1000 + i] for i in range(8))
+    clean = [(i, noted(80, 0), "en", "s") for i in range(150)]
+    junk = [(1000 + i, " ".join(w + "***" for w in noted(80, 0).split()), "en", "s") for i in range(8)]
+    got = {r["doc_id"]: r["kept"] for r in rules.apply_rules(spark.createDataFrame(clean + junk, KIND5)).collect()}
+    assert not any(got[1000 + i] for i in range(8)) and all(got[i] for i in range(150))
+
+
+def test_thresholds_follow_language_and_source(spark):
+    """In one source a tenth of the words carry a symbol, in the other hardly any: what is common in the first is far out
+    in the second, so no constant would do."""
+    rows = [(i, noted(100, rng.randint(8, 12)), "en", "notes") for i in range(400)] + [(1000 + i, noted(100, rng.randint(0, 1)), "en", "prose") for i in range(400)]
+    rows += [(2000, noted(100, 12), "en", "notes"), (2001, noted(100, 12), "en", "prose"), (2002, noted(100, 90), "en", "notes")]
+    frame = spark.createDataFrame(rows, KIND5)
+    got = {r["doc_id"]: r["kept"] for r in rules.apply_rules(frame).collect()}
+    assert (got[2000], got[2001], got[2002]) == (True, False, False)
+    assert np.mean([got[i] for i in range(400)]) > 0.98 and np.mean([got[1000 + i] for i in range(400)]) > 0.98
+    named = frame.select("doc_id", "text", rules.F.concat(rules.F.lit("="), "lang").alias("_lang"), rules.F.concat(rules.F.lit("="), "source").alias("_source"))
+    limits = {r["_source"]: r for r in rules.thresholds(rules.text_metrics(named, ["doc_id", "_lang", "_source"])).collect()}
+    assert limits["=notes"]["symbols_inner_most"] > 3 * limits["=prose"]["symbols_inner_most"]
+    assert limits["=notes"]["symbols_outer_most"] != limits["=prose"]["symbols_outer_most"]
+
+
+def test_limits_of_small_groups_move_by_steps(spark):
+    """Rows are drawn towards the wider group by their number; no size switches."""
+    base = [(i, noted(100, 0), "en", "prose") for i in range(500)]
+    limits = []
+    for n in (1, 20, 99, 100, 101):
+        rows = base + [(1000 + i, noted(100, 10), "en", "notes") for i in range(n)]
+        named = spark.createDataFrame(rows, KIND5).select("doc_id", "text", rules.F.col("lang").alias("_lang"), rules.F.col("source").alias("_source"))
+        found = rules.thresholds(rules.text_metrics(named, ["doc_id", "_lang", "_source"])).filter("_source = 'notes'").first()
+        limits.append(found["symbols_inner_most"])
+    assert limits == sorted(limits) and 0 < limits[0] < limits[1] < limits[2] and limits[4] - limits[2] <= 2
 
 
 PAGES = [
