@@ -1,11 +1,15 @@
 """Byte-pair encoding as a deterministic automaton over tokens, and decoding by its arc labels.
 
-The automaton starts with one state and a loop for every byte. Merge number i, (u, v) -> w, adds a gadget: arcs
-labelled u lead to a copy of their target from which the arc v is removed, and wherever an arc u was, an arc w goes to
-the old target of v. A walk whose labels spell a word is then the word's encoding, and there is exactly one. All arcs
-of one label share their target, so a state is named by the token that led to it, at a time: its arcs are those of the
-state of the token's right half when the token was made, less the arcs removed by merges that have the token on the
-left. That keeps the automaton as small as the list of merges; arcs are looked up and remembered in a table.
+The automaton starts with one state and a loop for every byte. Merge number i, (u, v) -> w, adds a gadget: the state
+that arcs u lead to gets a copy without the arc v, to which arcs u lead from then on, and wherever an arc u is, an arc w
+is added that leads where v does. All arcs of a label lead to one state, so there is a state a gadget, and a token names
+its target. A walk whose labels spell a word is the word's encoding, and there is exactly one, for each prefix of the
+word as well: so the last token of every prefix follows from those of shorter ones by looking up arcs, from left to
+right, and nothing is taken back.
+
+Compiled, a state is a range of numbers that holds those of all its copies, and the removed arcs are a table sorted by
+token and state. An arc that was removed takes along those that later merges would have built on it, so a lookup asks
+for a token, its left half, and so on.
 """
 
 from __future__ import annotations
@@ -24,6 +28,9 @@ from shardloom.llm.pretokens import END_OF_TEXT, END_OF_TEXT_ID, TextEncoder, ra
 _NEVER = 1 << 30
 _STEP_BITS, _ARC_BITS = 20, 20
 _STEPS = 1 << _STEP_BITS
+#: Words of more bytes are encoded one by one.
+_SIDE_BY_SIDE = 64
+_TOGETHER = 1 << 18
 
 
 def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -59,34 +66,77 @@ class Automaton:
                     self.ends.append(-1)
                 node = following
             self.ends[node] = token
-        self.left, self.right, self.made = [-1] * size, [-1] * size, [_NEVER] * size
-        self.removed: dict[int, int] = {}
-        self.dead = [False] * size
-        self._arcs: dict[int, bool] = {}
         self._memo = memo
+        self._arcs: dict[int, bool] = {}
+        self._compile(merges)
+        self._tables()
+
+    def _compile(self, merges: list[tuple[int, int]]) -> None:
+        """One gadget a merge, in order; then the states' ranges and the table of removed arcs."""
+        size = len(self.labels)
+        left, right, made = [-1] * size, [-1] * size, [_NEVER] * size
+        dead = [False] * size  # no arc has this label
+        target = [0] * size  # the state that the token's arcs lead to
+        parents, removed, times = [-1], [-1], [-1]  # of each state: which one it is a copy of, without which arc, since when
+        taken: dict[int, int] = {}  # left and right token of a merge -> time
+
+        def has_arc(last: int, arc: int) -> bool:
+            until = _NEVER
+            while last >= 0:
+                token, before = arc, _NEVER
+                while token >= 0:
+                    time = taken.get(last << 32 | token, _NEVER)
+                    if time < until and time <= before and time != _NEVER:
+                        return False
+                    before, token = made[token], left[token]
+                until, last = made[last], right[last]
+            return True
+
         for time, (u, v) in enumerate(merges):
-            self._gadget(time, u, v, vocabulary[self.labels[u] + self.labels[v]])
-        self._arcs.clear()
-
-    def _gadget(self, time: int, u: int, v: int, w: int) -> None:
-        self.dead[w] = self.dead[u] or self.dead[v] or not self._walk(u, v)
-        if self.made[w] == _NEVER:
-            self.left[w], self.right[w], self.made[w] = u, v, time
-        self.removed.setdefault(u << 32 | v, time)
-
-    def _walk(self, last: int, arc: int) -> bool:
-        """Does the state that token last leads to have this arc?"""
-        removed, left, right, made = self.removed, self.left, self.right, self.made
-        state, until = last, _NEVER
-        while state >= 0:
-            token, before = arc, _NEVER
-            while token >= 0:
-                time = removed.get(state << 32 | token)
-                if time is not None and time < until and time <= before:
-                    return False
-                before, token = made[token], left[token]
-            until, state = made[state], right[state]
-        return True
+            w = self.ids[self.labels[u] + self.labels[v]]
+            if made[w] != _NEVER:
+                raise ValueError(f"merges {made[w]} and {time} make the same token")
+            left[w], right[w], made[w] = u, v, time
+            dead[w] = dead[u] or dead[v] or not has_arc(u, v)
+            target[w] = target[v]
+            if not dead[w]:
+                taken[u << 32 | v] = time
+                parents.append(target[u])
+                removed.append(v)
+                times.append(time)
+                target[u] = len(parents) - 1
+        # a copy comes after its original, so ranges follow from counts
+        count = [1] * len(parents)
+        for state in range(len(parents) - 1, 0, -1):
+            count[parents[state]] += count[state]
+        first, free = [0] * len(parents), [1] * len(parents)
+        for state in range(1, len(parents)):
+            parent = parents[state]
+            first[state] = free[parent]
+            free[parent] += count[state]
+            free[state] = first[state] + 1
+        first_of, tokens = np.array(first, np.int64), np.array(removed, np.int64)
+        order = np.lexsort((first_of, tokens))[1:]  # but for the state with all arcs
+        self.arc_keys = np.append(tokens[order] << 32 | first_of[order], np.iinfo(np.int64).max)
+        self.arc_ends = np.append(first_of[order] + np.array(count)[order], 0)
+        self.arc_times = np.append(np.array(times, np.int64)[order], 0)
+        self.target = first_of[np.array(target)]
+        self.left, self.made, self.dead = np.array(left, np.int64), np.array(made, np.int64), np.array(dead)
+
+    def _has_arcs(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Do the states that these tokens lead to have these arcs? Looked up in the table of removed ones."""
+        out = ~self.dead[token]
+        row = np.flatnonzero(out)
+        state, token = self.target[last[row]], token[row].astype(np.int64)
+        before = np.full(len(row), _NEVER)
+        while row.size:
+            at = np.searchsorted(self.arc_keys, token << 32 | state, "right") - 1
+            gone = (at >= 0) & (self.arc_keys[at] >> 32 == token) & (state < self.arc_ends[at]) & (self.arc_times[at] <= before)
+            out[row[gone]] = False
+            before, token = self.made[token], self.left[token]
+            on = ~gone & (token >= 0)
+            row, state, token, before = row[on], state[on], token[on], before[on]
+        return out
 
     def arc(self, last: int, token: int) -> bool:
         key = last << 32 | token
@@ -94,56 +144,41 @@ class Automaton:
         if known is None:
             if len(self._arcs) >= self._memo:
                 self._arcs.clear()
-            known = self._arcs[key] = not self.dead[token] and self._walk(last, token)
+            known = self._arcs[key] = bool(self._has_arcs(np.array([last]), np.array([token]))[0])
         return known
 
     def encode(self, word: bytes) -> list[int]:
-        """The one walk whose labels spell the word. At every step the longest label that goes on and has an arc is
-        tried first. No position is reached by two walks, so one that leads nowhere is left for good."""
-        whole = self.ids.get(word)
-        if whole is not None and not self.dead[whole]:
-            return [whole]
-        step, ends, arcs, arc = self.step, self.ends, self._arcs.get, self.arc
-        size, at, last = len(word), 0, -1
-        out: list[int] = []
-        tries: list[list[tuple[int, int]]] = []
-        barred: set[int] = set()
-        labels: list[tuple[int, int]] | None = None
-        while at < size:
-            if labels is None:
-                labels, node, i = [], 0, at
-                while i < size:
-                    node = step.get(node << 8 | word[i])
-                    if node is None:
-                        break
-                    i += 1
-                    token = ends[node]
-                    if token >= 0:
-                        labels.append((token, i))
-            while labels:
-                token, to = labels.pop()
-                if to in barred:
-                    continue
-                if last < 0:
-                    goes = not self.dead[token]
-                else:
-                    goes = arcs(last << 32 | token)
-                    if goes is None:
-                        goes = arc(last, token)
-                if goes:
-                    out.append(token)
-                    tries.append(labels)
-                    last, at, labels = token, to, None
+        """The one walk whose labels spell the word: the last token of every prefix, from left to right, then back."""
+        step, ends, arcs, arc, dead = self.step, self.ends, self._arcs.get, self.arc, self.dead
+        size = len(word)
+        last = [-1] * (size + 1)
+        for at in range(size):
+            own, node, to = last[at], 0, at
+            if at and own < 0:
+                raise ValueError("the vocabulary has bytes without a token")
+            while to < size:
+                node = step.get(node << 8 | word[to])
+                if node is None:
                     break
-            else:
-                barred.add(at)
-                at -= len(self.labels[out.pop()])
-                labels = tries.pop()
-                last = out[-1] if out else -1
-        return out
-
-    def tables(self) -> None:
-        """The trie's steps as an open hash table, the next shorter label of each token, and an empty table of arcs."""
+                to += 1
+                token = ends[node]
+                if token >= 0 and last[to] < 0:
+                    if own < 0:
+                        goes = not dead[token]
+                    else:
+                        goes = arcs(own << 32 | token)
+                        if goes is None:
+                            goes = arc(own, token)
+                    if goes:
+                        last[to] = token
+        out, at = [], size
+        while at > 0:
+            out.append(last[at])
+            at -= len(self.labels[last[at]])
+        return out[::-1]
+
+    def _tables(self) -> None:
+        """The trie's steps as an open hash table, and an empty table of arcs that have been looked up."""
         keys = np.fromiter(self.step, np.int64, len(self.step))
         nodes = np.fromiter(self.step.values(), np.int32, len(self.step))
         self.key_table, self.node_table = np.full(_STEPS, -1, np.int64), np.zeros(_STEPS, np.int32)
@@ -157,99 +192,114 @@ class Automaton:
             left = np.setdiff1d(left, got, assume_unique=True)
             at[left] = (at[left] + 1) % _STEPS
         self.end_table = np.array(self.ends, np.int32)
-        self.sizes = np.array([*map(len, self.labels), 0], np.int32)  # of no token: 0
-        self.shorter = np.full(len(self.labels) + 1, -1, np.int32)
-        for label, token in self.ids.items():
-            node, longest = 0, -1
-            for byte in label[:-1]:
-                node = self.step[node << 8 | byte]
-                longest = self.ends[node] if self.ends[node] >= 0 else longest
-            self.shorter[token] = longest
-        self.arc_keys, self.arc_values = np.full(1 << _ARC_BITS, -1, np.int64), np.zeros(1 << _ARC_BITS, bool)
-        self.is_dead = np.array(self.dead)
-
-    def _longest(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """For every place of the data, the longest label that starts there and ends by the end of its word."""
-        best = np.full(len(data), -1, np.int32)
+        self.sizes = np.array([len(x) for x in self.labels], np.int64)
+        self.seen_keys, self.seen_values = np.full(1 << _ARC_BITS, -1, np.int64), np.zeros(1 << _ARC_BITS, bool)
+
+    def _labels_in(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and token of every label in the data that has arcs and stays within its word."""
         place = np.arange(len(data))
         node = np.zeros(len(data), np.int64)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         ahead = 0
         while place.size:
             keys = node << 8 | data[place + ahead]
             slot = _slot(keys, _STEP_BITS)
-            found = self.key_table[slot]
-            wrong = np.flatnonzero((found != keys) & (found >= 0))
+            there = self.key_table[slot]
+            wrong = np.flatnonzero((there != keys) & (there >= 0))
             while wrong.size:
                 slot[wrong] = (slot[wrong] + 1) % _STEPS
-                found[wrong] = self.key_table[slot[wrong]]
-                wrong = wrong[(found[wrong] != keys[wrong]) & (found[wrong] >= 0)]
-            hit = found >= 0
+                there[wrong] = self.key_table[slot[wrong]]
+                wrong = wrong[(there[wrong] != keys[wrong]) & (there[wrong] >= 0)]
+            hit = there >= 0
             place, node = place[hit], self.node_table[slot[hit]].astype(np.int64)
             token = self.end_table[node]
-            best[place[token >= 0]] = token[token >= 0]
             ahead += 1
+            good = (token >= 0) & ~self.dead[token]
+            found.append((place[good], place[good] + ahead, token[good]))
             on = place + ahead < ends[place]
             place, node = place[on], node[on]
-        return best
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
     def _arcs_of(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
-        out = ~self.is_dead[token]
+        """Arcs, out of the table of those seen before where they are in it. No token (-1) leads to the first state."""
+        out = ~self.dead[token]
         inner = np.flatnonzero(last >= 0)
         keys = last[inner].astype(np.int64) << 32 | token[inner]
         slot = _slot(keys, _ARC_BITS)
-        new = np.flatnonzero(self.arc_keys[slot] != keys)
-        if new.size:
-            fresh, back = np.unique(keys[new], return_inverse=True)
-            known = np.fromiter((self.arc(k >> 32, k & 0xFFFFFFFF) for k in fresh.tolist()), bool, len(fresh))[back]
-        out[inner] = self.arc_values[slot]
+        out[inner] = self.seen_values[slot]
+        new = np.flatnonzero(self.seen_keys[slot] != keys)
         if new.size:
+            known = self._has_arcs(last[inner[new]], token[inner[new]])
             out[inner[new]] = known
-            self.arc_keys[slot[new]], self.arc_values[slot[new]] = keys[new], known
-            # two new arcs may want one slot: the value must be that of the key that stayed
-            stayed = self.arc_keys[slot[new]] == keys[new]
-            self.arc_values[slot[new[stayed]]] = known[stayed]
+            self.seen_keys[slot[new]] = keys[new]
+            # of several new arcs that want a slot, one has got it, and the value must be its own
+            stayed = self.seen_keys[slot[new]] == keys[new]
+            self.seen_values[slot[new[stayed]]] = known[stayed]
         return out
 
     def encode_many(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The walks of many words side by side. data: the words' bytes, one after another; size: bytes of each word.
-        All ids, and how many each word has; the same as encode()."""
-        if not hasattr(self, "key_table"):
-            self.tables()
-        data = data.astype(np.int64)
+        All ids, and how many each word has; the same as encode(). Some _TOGETHER bytes are looked at together."""
+        ends = np.cumsum(size)
+        parts, at = [], 0
+        while at < len(size):
+            till = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + _TOGETHER, "right")))
+            parts.append(self._encoded(data[ends[at] - size[at] : ends[till - 1]], size[at:till]))
+            at = till
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+
+    def _encoded(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start = np.cumsum(size) - size
-        longest = self._longest(data, np.repeat(start + size, size))
-        out = np.full(len(data), -1, np.int32)
-        barred = np.zeros(len(data) + 1, bool)
-        depth_of = np.zeros(len(size), np.int64)
-        word = np.flatnonzero(size > 0)
-        begin, end, at, depth = start[word], (start + size)[word], start[word].copy(), np.zeros(len(word), np.int64)
-        last, token = np.full(len(word), -1, np.int32), longest[at]
+        last = np.full(len(data) + 1, -1, np.int64)  # of every prefix of every word, at the place where it ends
+        depth = np.zeros(len(size), np.int64)
+        out = np.full(len(data), -1, np.int64)  # filled from each word's end
+        for word in np.flatnonzero(size > _SIDE_BY_SIDE).tolist():
+            ids = self.encode(data[start[word] : start[word] + size[word]].tobytes())
+            depth[word] = len(ids)
+            out[start[word] + size[word] - len(ids) : start[word] + size[word]] = ids
+        word = np.flatnonzero((size > 0) & (size <= _SIDE_BY_SIDE))
+        within = np.repeat(size <= _SIDE_BY_SIDE, size)
+        ends = np.where(within, np.repeat(start + size, size), 0)
+        begin_of = np.repeat(start, size)
+        begins, tos, tokens = self._labels_in(data.astype(np.int64), ends)
+        if not within.all():
+            keep = within[begins]
+            begins, tos, tokens = begins[keep], tos[keep], tokens[keep]
+        # a word that is a label has one arc from the first state; the others go on prefix by prefix
+        whole = (begins == begin_of[begins]) & (tos == ends[begins])
+        last[tos[whole]] = tokens[whole]
+        is_whole = np.zeros(len(data) + 1, bool)
+        is_whole[begins[whole]] = True
+        rest = word[~is_whole[start[word]]]
+        order = np.lexsort((begins, tos))
+        order = order[~is_whole[begin_of[begins[order]]]]
+        begins, tos, tokens = begins[order], tos[order], tokens[order]
+        first = np.searchsorted(tos, np.arange(len(data) + 2))
+        ahead = 1
+        while rest.size:
+            to = start[rest] + ahead
+            at = first[to]
+            open_ = np.arange(len(rest))
+            while open_.size:
+                here = at[open_]
+                if (here >= first[to[open_] + 1]).any():
+                    raise ValueError("the vocabulary has bytes without a token")
+                own = np.where(begins[here] == start[rest[open_]], -1, last[begins[here]])
+                goes = self._arcs_of(own, tokens[here])
+                last[to[open_[goes]]] = tokens[here[goes]]
+                at[open_] += 1
+                open_ = open_[~goes]
+            ahead += 1
+            rest = rest[size[rest] >= ahead]
+        place = start[word] + size[word]
         while word.size:
-            to = at + self.sizes[token]
-            # a place where a word ends is where the next one begins, and is never barred
-            goes = (token >= 0) & ~(barred[to] & (to < end))
-            goes[goes] = self._arcs_of(last[goes], token[goes])
-            out[begin[goes] + depth[goes]] = token[goes]
-            stuck = token < 0
-            token = np.where(goes, -1, self.shorter[token])
-            depth[goes] += 1
-            at[goes] = to[goes]
-            last[goes] = out[begin[goes] + depth[goes] - 1]
-            open_ = goes & (at < end)
-            token[open_] = longest[at[open_]]
-            if stuck.any():
-                barred[at[stuck]] = True
-                depth[stuck] -= 1
-                back = out[begin[stuck] + depth[stuck]]
-                at[stuck] -= self.sizes[back]
-                token[stuck] = self.shorter[back]
-                last[stuck] = np.where(depth[stuck] > 0, out[begin[stuck] + depth[stuck] - 1], -1)
-            over = goes & ~open_
-            if over.any():
-                depth_of[word[over]] = depth[over]
-                keep = ~over
-                word, begin, end, at, depth, last, token = (x[keep] for x in (word, begin, end, at, depth, last, token))
-        return ragged(out, start, depth_of).astype("<u4"), depth_of
+            token = last[place]
+            depth[word] += 1
+            out[start[word] + size[word] - depth[word]] = token
+            place = place - self.sizes[token]
+            on = place > start[word]
+            word, place = word[on], place[on]
+        return ragged(out, start + size - depth, depth).astype("<u4"), depth
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The labels of the arcs, one after another."""
@@ -281,8 +331,9 @@ def text_encoder(path: str, special: bool = True) -> TextEncoder:
 def encode_documents(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit), decoded text; or, with digest, doc_id, n_tokens and SHA-256s of both.
 
-    A null text counts as empty: no ids, an empty decoded text. Repeated rows give repeated rows; other columns are not
-    read. Memory: one batch of texts, and bounded memos of words and arcs.
+    A null text counts as empty: no ids, an empty decoded text. Repeated rows give repeated rows, null ids stay null, an
+    empty table gives an empty result, and other columns are not read. Long texts are encoded whole. Memory: one batch
+    of texts (or its longest one), and bounded memos of words and arcs.
     """
     ship(docs.sparkSession)
     out = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *([("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] if digest else [("ids", pa.binary()), ("decoded", pa.string())])])

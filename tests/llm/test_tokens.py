@@ -54,6 +54,78 @@ def test_small_automaton_by_hand():
     assert automaton.encode(b"ababab") == [3, 2] and automaton.encode(b"bab") == [1, 2] and automaton.encode(b"bba") == [1, 4]
 
 
+def explicit_automaton(symbols, merges):
+    """The construction as it is defined, with all states and arcs: for every merge (u, v) -> w, each state that arcs u
+    lead to and that has an arc v is copied without it; arcs u lead to the copy, and w is added beside each of them."""
+    arcs = [{s: 0 for s in symbols}]
+    for u, v, w in merges:
+        after = {arcs[p][u] for p in range(len(arcs)) if u in arcs[p]}
+        copies, beyond = {}, {}
+        for q in sorted(after):
+            if v in arcs[q]:
+                beyond[q] = arcs[q][v]
+                copies[q] = len(arcs)
+                arcs.append({s: r for s, r in arcs[q].items() if s != v})
+        for own in arcs:
+            if (q := own.get(u)) in copies:
+                own[w] = beyond[q]
+                own[u] = copies[q]
+    return arcs
+
+
+def merged(word, merges, ids):
+    """The textbook: the first merge of the list that applies, at its leftmost place, again and again."""
+    out = [ids[bytes([b])] for b in word]
+    for u, v, w in merges:
+        i = 0
+        while i + 1 < len(out):
+            if out[i : i + 2] == [u, v]:
+                out[i : i + 2] = [w]
+            i += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_compiled_automaton_equals_the_explicit_one(seed):
+    r = random.Random(seed)
+    labels = [b"a", b"b", b"c"][: r.choice([1, 2, 3])]
+    symbols = list(range(len(labels)))
+    merges = []
+    while len(merges) < r.choice([3, 8, 20]):
+        u, v = r.randrange(len(labels)), r.randrange(len(labels))
+        if labels[u] + labels[v] in labels:
+            if len(merges) >= 2 and r.random() < 0.2:
+                break
+            continue
+        merges.append((u, v, len(labels)))
+        labels.append(labels[u] + labels[v])
+    ids = {label: i for i, label in enumerate(labels)}
+    automaton = bpe.Automaton(ids, [m[:2] for m in merges])
+    arcs = explicit_automaton(symbols, merges)
+    assert [not d for d in automaton.dead] == [t in arcs[0] for t in range(len(labels))]
+    for last in arcs[0]:
+        state = arcs[0][last]
+        assert all(own[last] == state for own in arcs if last in own)
+        assert {t for t in range(len(labels)) if automaton.arc(last, t)} == set(arcs[state])
+    words = [bytes(r.choice(b"abc"[: len(symbols)]) for _ in range(r.randint(1, 90))) for _ in range(60)]
+    want = [merged(w, merges, ids) for w in words]
+    assert [automaton.encode(w) for w in words] == want
+    found, sizes = automaton.encode_many(np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words]))
+    assert found.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+
+
+def test_merges_that_make_one_token_twice_are_refused():
+    v = {b"a": 0, b"b": 1, b"ab": 2, b"ba": 3, b"aba": 4}
+    with pytest.raises(ValueError, match="same token"):
+        bpe.Automaton(v, [(0, 1), (1, 0), (2, 0), (0, 3)])
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "a b"), (1, "x"), (1, "x"), (1, "y"), (2, None)]
+    got = bpe.encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
+    assert sorted((str(r["doc_id"]), r["decoded"]) for r in got) == sorted((str(i), t or "") for i, t in rows)
+
+
 def docs_of(spark, texts, extra=True):
     rows = [(i, t, 0, "x") for i, t in enumerate(texts)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long, ids string")
