@@ -193,10 +193,12 @@ class Automaton:
             at[left] = (at[left] + 1) % _STEPS
         self.end_table = np.array(self.ends, np.int32)
         self.sizes = np.array([len(x) for x in self.labels], np.int64)
+        self.known = np.array([self.ends[self.step[b]] >= 0 if b in self.step else False for b in range(256)])
         self.seen_keys, self.seen_values = np.full(1 << _ARC_BITS, -1, np.int64), np.zeros(1 << _ARC_BITS, bool)
 
     def _labels_in(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Start, end and token of every label in the data that has arcs and stays within its word."""
+        """Start, end and token of every label in the data that has arcs and stays within its word, by length, the
+        longest first, and by place."""
         place = np.arange(len(data))
         node = np.zeros(len(data), np.int64)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -218,7 +220,7 @@ class Automaton:
             found.append((place[good], place[good] + ahead, token[good]))
             on = place + ahead < ends[place]
             place, node = place[on], node[on]
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        return tuple(np.concatenate(x) for x in zip(*found[::-1], strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
     def _arcs_of(self, last: np.ndarray, token: np.ndarray) -> np.ndarray:
         """Arcs, out of the table of those seen before where they are in it. No token (-1) leads to the first state."""
@@ -249,8 +251,10 @@ class Automaton:
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
 
     def _encoded(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not self.known[data].all():
+            raise ValueError("the vocabulary has bytes without a token")
         start = np.cumsum(size) - size
-        last = np.full(len(data) + 1, -1, np.int64)  # of every prefix of every word, at the place where it ends
+        last = np.full(len(data) + 1, -1, np.int32)  # of every prefix of every word, at the place where it ends
         depth = np.zeros(len(size), np.int64)
         out = np.full(len(data), -1, np.int64)  # filled from each word's end
         for word in np.flatnonzero(size > _SIDE_BY_SIDE).tolist():
@@ -271,24 +275,23 @@ class Automaton:
         is_whole = np.zeros(len(data) + 1, bool)
         is_whole[begins[whole]] = True
         rest = word[~is_whole[start[word]]]
-        order = np.lexsort((begins, tos))
-        order = order[~is_whole[begin_of[begins[order]]]]
-        begins, tos, tokens = begins[order], tos[order], tokens[order]
-        first = np.searchsorted(tos, np.arange(len(data) + 2))
+        left = np.flatnonzero(~is_whole[begin_of[begins]])
+        left = left[np.argsort(tos[left].astype(np.int32), kind="stable")]
+        begins, tos, tokens = begins[left].astype(np.int32), tos[left], tokens[left]
+        first = np.concatenate([[0], np.cumsum(np.bincount(tos, minlength=len(data) + 1))])
         ahead = 1
         while rest.size:
-            to = start[rest] + ahead
+            from_ = start[rest]
+            to = from_ + ahead
             at = first[to]
             open_ = np.arange(len(rest))
             while open_.size:
                 here = at[open_]
-                if (here >= first[to[open_] + 1]).any():
-                    raise ValueError("the vocabulary has bytes without a token")
-                own = np.where(begins[here] == start[rest[open_]], -1, last[begins[here]])
-                goes = self._arcs_of(own, tokens[here])
-                last[to[open_[goes]]] = tokens[here[goes]]
-                at[open_] += 1
+                token, begin = tokens[here], begins[here]
+                goes = self._arcs_of(np.where(begin == from_[open_], -1, last[begin]), token)
+                last[to[open_[goes]]] = token[goes]
                 open_ = open_[~goes]
+                at[open_] += 1
             ahead += 1
             rest = rest[size[rest] >= ahead]
         place = start[word] + size[word]
