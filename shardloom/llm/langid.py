@@ -23,8 +23,11 @@ FAMILIES = {
 }
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 WIDTH = 1 << 13
+STRETCH = 1 << 18
 #: A family's confidence is told among so many of the likeliest, so that it doesn't fall as more languages are learned.
 LIKELIEST = 40
+#: Documents are sampled by a hash modulo this.
+PLACES = 1 << 40
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANK = np.array([b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256)], np.uint32)
 
@@ -34,14 +37,21 @@ def has_letter(text: str | None) -> bool:
 
 
 def features(texts: list[str]) -> np.ndarray:
-    """Hashed counts of byte pairs and triples of the lower-cased whole text, as square roots with unit norm."""
+    """Hashed counts of byte pairs and triples of the lower-cased whole text, as square roots with unit norm.
+
+    Texts are gone through in stretches of STRETCH bytes, so a long one takes no more memory than that.
+    """
     out = np.zeros((len(texts), WIDTH), np.float32)
     for row, text in enumerate(texts):
-        x = _BLANK[np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)]
-        two = x[:-1] << np.uint32(8) | x[1:]
-        three = two[:-1] << np.uint32(8) | x[2:]
-        hashed = np.concatenate([(two * np.uint32(2654435761)) >> np.uint32(19), (three * np.uint32(2246822519)) >> np.uint32(19)])
-        out[row] = np.bincount(hashed, minlength=WIDTH)
+        data = np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)
+        counts = np.zeros(WIDTH, np.int64)
+        for at in range(0, len(data) - 1, STRETCH):
+            x = _BLANK[data[at : at + STRETCH + 2]]
+            two = x[:-1] << np.uint32(8) | x[1:]
+            three = two[:-1] << np.uint32(8) | x[2:]
+            counts += np.bincount((two[:STRETCH] * np.uint32(2654435761)) >> np.uint32(19), minlength=WIDTH)
+            counts += np.bincount((three * np.uint32(2246822519)) >> np.uint32(19), minlength=WIDTH)
+        out[row] = counts
     np.sqrt(out, out=out)
     out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
     return out
@@ -126,8 +136,8 @@ def train(x: np.ndarray, langs: list[str]) -> LanguageModel:
 def fit(docs: DataFrame, per_language: int = 300, folds: int = 4, held_out: int = 2, full_languages: int = 40, least: int = 20) -> LanguageModel:
     """Learn from text and lang of documents outside the held-out fold of crc32(doc_id), over whole texts.
 
-    Every lang value is learned; what is bounded is the rows of each: about per_language documents, chosen by a hash of
-    their id. With more than full_languages languages each has fewer, so that the total stays the same, but no fewer
+    Every lang value is learned; what is bounded is the rows of each: about per_language documents, those with the least
+    hashes of their id. With more than full_languages languages each has fewer, so that the total stays the same, but no fewer
     than least; never more than twice that in all. Features are made on the executors, so what reaches the driver
     doesn't depend on how long texts are.
     """
@@ -135,25 +145,27 @@ def fit(docs: DataFrame, per_language: int = 300, folds: int = 4, held_out: int
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     most = min(per_language, max(least, per_language * full_languages // max(1, len(counts))))
     # ids that are null say nothing of a row, so its text does
-    place = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(1_000_000).cast("long"))
-    bounds = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(1_000_000 * min(1.0, most / n)) + 1)]) if counts else None
+    place = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(PLACES).cast("long"))
+    bounds = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, int(PLACES * min(1.0, most / n)) + 1)]) if counts else None
     share = place < bounds[F.col("lang")] if counts else F.lit(False)
 
     def make():
-        def vectors(langs, texts):
+        def vectors(langs, texts, places):
             keep = [i for i, t in enumerate(texts) if has_letter(t)]
             x = features([texts[i] for i in keep])
-            out_lang, out_at, out_value = [], [], []
+            out_lang, out_at, out_value, out_place = [], [], [], []
             for row, i in enumerate(keep):
                 at = np.flatnonzero(x[row])
                 out_lang.append(langs[i])
                 out_at.append(at.astype(np.uint16).tobytes())
                 out_value.append(x[row, at].tobytes())
-            return out_lang, out_at, out_value
+                out_place.append(places[i])
+            return out_lang, out_at, out_value, out_place
 
         return vectors
 
-    rows = map_rows(known.filter(share), ["lang", "text"], make, "lang string, at binary, value binary").limit(2 * most * max(1, len(counts))).collect()
+    made = map_rows(known.filter(share).withColumn("_place", place), ["lang", "text", "_place"], make, "lang string, at binary, value binary, place long")
+    rows = made.orderBy("place", "lang", "at", "value").limit(2 * most * max(1, len(counts))).collect()
     rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["value"])))  # one order, whatever the partitions
     x = np.zeros((len(rows), WIDTH), np.float32)
     for i, row in enumerate(rows):
@@ -176,8 +188,9 @@ def predicted(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colu
 def identify(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of documents.
 
-    Null texts and texts without a letter are und, 0. Only doc_id, text and lang are read, lang for learning alone. A
-    null doc_id counts as the empty text in the fold. An empty table gives an empty result.
+    Null texts and texts without a letter are und, 0. Only doc_id, text and lang are read, lang for learning alone, so
+    other columns may have any names. A null doc_id counts as the empty text in the fold. Repeated rows are told each,
+    and alike; long texts are read whole, in stretches. An empty table gives an empty result.
     """
     model = fit(docs, folds=folds, held_out=held_out)
     return docs.select("doc_id", (crc_fold(F.col("doc_id"), folds) == held_out).alias("held_out"), predicted(docs, model).alias("p")).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")

@@ -41,7 +41,9 @@ def piece_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: in
     and the place within it (_task, _local), so that one Python worker does both. Each document's ids end with end_id.
 
     Documents of more than capacity ids are cut so that only the first piece may be shorter. A null or empty text has
-    one piece, of end_id alone. Texts stay where they are; only these rows go on.
+    one piece, of end_id alone; a null doc_id stays null, repeated rows are documents of their own, long texts are
+    encoded whole, other columns aren't read, and an empty table gives an empty result. Texts stay where they are; only
+    these rows go on.
     """
     ship(docs.sparkSession)
     with_ids = ids

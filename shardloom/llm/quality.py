@@ -137,14 +137,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 700, most_chunks: i
     def make():
         return lambda ids, texts: (ids, [np.ascontiguousarray(chunks_of(text)).tobytes() for text in texts])
 
+    def of_ids(ids: list[int]) -> DataFrame:
+        """The documents with these ids, at most four times per_class of them."""
+        wanted = docs.sparkSession.createDataFrame([(i,) for i in sorted(ids)], "doc_id long")
+        return docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id", "left_semi")
+
     n_chunks = F.greatest(F.lit(1), F.ceil((F.coalesce(F.octet_length("text"), F.lit(0)) - (CHUNK - STEP)) / STEP))
-    sizes = {r[0]: r[1] for r in docs.filter(F.col("doc_id").isin(sorted(chosen))).groupBy("doc_id").agg(F.sum(n_chunks)).collect()} if chosen else {}
+    sizes = {r[0]: r[1] for r in of_ids(chosen).groupBy("doc_id").agg(F.sum(n_chunks)).collect()} if chosen else {}
     fitting, room = [], most_chunks
     for doc_id in chosen:
         if sizes.get(doc_id, room + 1) <= room:
             fitting.append(doc_id)
             room -= sizes[doc_id]
-    rows = map_rows(docs.filter(F.col("doc_id").isin(sorted(fitting))), ["doc_id", "text"], make, "doc_id long, chunks binary").collect() if fitting else []
+    rows = map_rows(of_ids(fitting), ["doc_id", "text"], make, "doc_id long, chunks binary").collect() if fitting else []
     rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["chunks"])))
     y = np.array([chosen[r["doc_id"]] for r in rows], np.float32)
     if not len(set(y.tolist())) == 2:
@@ -169,7 +174,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds:
     """doc_id, held_out, score, predicted for every row of documents.
 
     A null text is scored as an empty one. Only doc_id and text are inputs; labels are read for learning, outside the
-    held-out fold. A null doc_id counts as the empty text in the fold. An empty table gives an empty result.
+    held-out fold, so other columns may have any names. A null doc_id counts as the empty text in the fold. Repeated
+    rows are scored each, and alike; of a long text every chunk is scored, some at a time. An empty table gives an empty
+    result.
     """
     net = fit(docs, labels, folds=folds, held_out=held_out)
     return docs.select("doc_id", (crc_fold(F.col("doc_id"), folds) == held_out).alias("held_out"), scored(docs, net).alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -7,40 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shardloom.llm import bpe, langid, minhash, packing, quality, rules, secrets, syncmers, token_files, urls
-from shardloom.llm.common import scratch_path, table
+from shardloom.llm.common import scratch_path, scratch_root, table
 from shardloom.llm.pretokens import vocabulary
 from shardloom.session import discard_path
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates by words of two and a likeness of 0.8. Cases: minhash.near_duplicates()."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
 def op2_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded texts of the 50k byte-level vocabulary, as digests. Cases: bpe.encode_documents()."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), digest=True)
 
 
 def op3_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of texts, of their edits and of the next ones. Cases: syncmers.fingerprints()."""
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op4_quality_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores, learned from labels. Cases: quality.classify()."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts by thresholds of each language and source. Cases: rules.apply_rules()."""
     return rules.apply_rules(table(spark, sf_dir, "documents"))
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on pages by rules and aliases. Cases: urls.judge()."""
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all pieces in sequences of 1024 tokens. Cases: packing.piece_documents() and pack()."""
     return packing.pack(packing.piece_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), ids=False))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files. Cases: token_files.write_token_files() and token_counts()."""
     path = scratch_path(spark, "token-files")
     manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     counts = token_files.token_counts(spark, path)
@@ -49,10 +57,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secrets(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+    """Secrets of every text; texts that the ledger in the shared folder has aren't scanned again. Cases: secrets.secrets()."""
+    return secrets.secrets(table(spark, sf_dir, "documents"), f"{scratch_root(spark)}/{secrets.LEDGER}")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all texts, learned from lang. Cases: langid.identify()."""
     return langid.identify(table(spark, sf_dir, "documents"))
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import hot_join, materialize, unused
+from shardloom.llm.common import discard, hot_join, materialize, unused
 
 RULES_VERSION = "3"
+#: The ledger in the folder that driver and executors share, which all runs with that folder add to.
+LEDGER = "shardloom/secrets-ledger"
 
 #: Kind -> (pattern, group whose length counts, least length). The first three are the base.
 BASE = {
@@ -77,7 +79,7 @@ def open_ledger(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 
 def scan(docs: DataFrame, ledger_path: str | None = None, rules: str = RULES_VERSION) -> tuple[DataFrame, DataFrame]:
-    """(paths: doc_id, blob; findings: blob, spans) over every row of docs.
+    """(paths: doc_id, blob; findings: blob, spans) over every row of docs, whatever its other columns are.
 
     Each blob that the ledger doesn't have under these rules is scanned once, from one of its documents; one document
     of each is found by ids and addresses alone, so a text is moved at most once. What is new goes to the ledger, if
@@ -101,6 +103,7 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: str = RULES_VER
     if ledger_path is not None:
         found = materialize(found.filter(F.size("spans") > 0).dropDuplicates(["blob"]), "found")
         fresh.write.mode("append").parquet(ledger_path)
+        discard(fresh)
     return paths, found.filter(F.size("spans") > 0).select("blob", "spans")
 
 

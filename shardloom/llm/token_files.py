@@ -27,11 +27,14 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, separato
     document (place in the file, from 0), doc_id.
 
     The separator's own text inside a document is encoded as ordinary text, so separators only end documents. A null
-    text is an empty document. A task that is run again writes the same file anew, under a name of its own until it is
+    text is an empty document, a null doc_id stays null, repeated rows are documents of their own, and other columns
+    aren't read. An id that doesn't fit into width bytes is an error. A task that is run again writes the same file anew, under a name of its own until it is
     whole. A task without rows writes no file.
     """
     ship(docs.sparkSession)
     kind = {2: "<u2", 4: "<u4"}[width]
+    if separator >= 1 << 8 * width:
+        raise ValueError(f"the separator doesn't fit into {width} bytes")
     out = pa.schema([("file", pa.string()), ("document", pa.int64()), ("doc_id", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,7 +51,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, separato
             for batch in slices(whole, 1):
                 sink = sink or store.open_output_stream(partial)
                 for ids in encoder.ids(batch.column(1)):
-                    sink.write(np.frombuffer(ids, "<u4").astype(kind).tobytes() + end)
+                    values = np.frombuffer(ids, "<u4")
+                    if values.size and values.max() >= 1 << 8 * width:
+                        raise ValueError(f"id {values.max()} doesn't fit into {width} bytes")
+                    sink.write(values.astype(kind).tobytes() + end)
                 n = batch.num_rows
                 yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(range(written, written + n), pa.int64()), batch.column(0).cast(pa.int64())], schema=out)
                 written += n

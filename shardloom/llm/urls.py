@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import connected_components, hot_join, materialize
+from shardloom.llm.common import connected_components, discard, hot_join, materialize
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -75,8 +75,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects
     A page takes its longest rule's verdict. Without a rule it is blocked if any of its aliases (URLs that redirects
     and canonical links join, in either direction and over any number of steps, whether or not they are pages) is
     blocked by a rule and none is allowed by one; else it is allowed. Null URLs and those without '://' have an empty
-    host and path and no aliases. Null html has no links. Repeated rows are judged each; an empty table gives an empty
-    result. rules: at most some hundreds, as they become one expression.
+    host and path and no aliases. Null html has no links, and of long html all links count. Repeated rows are judged
+    each, a null page_id stays null, other columns are not read, and an empty table gives an empty result. rules: at most some hundreds, as they become one expression.
     """
     own = pages.select("page_id", "url")
     judged = own.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
@@ -87,10 +87,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects
         return judged.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"))
     edges = links.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b"))
     members = connected_components(edges)
+    discard(links)
     as_url = F.concat(F.lit("http://"), F.col("id"))
     ruled = members.withColumn("_rule", matching_rule(host_of(as_url), path_of(as_url), rules))
     decided = ruled.groupBy("component").agg(F.max(F.coalesce(F.col("_rule.allow"), F.lit(False))).alias("allowed"), F.max(F.coalesce(~F.col("_rule.allow"), F.lit(False))).alias("blocked"))
-    blocked = materialize(hot_join(materialize(members, "members"), decided.filter("blocked and not allowed"), "component").select(F.col("id").alias("node"), F.lit(True).alias("_alias_blocked")), "blocked")
+    blocked = materialize(hot_join(members, decided.filter("blocked and not allowed"), "component").select(F.col("id").alias("node"), F.lit(True).alias("_alias_blocked")), "blocked")
     rows = materialize(judged.withColumn("node", F.coalesce(node_of(F.col("url")), F.lit(""))), "judged")
     joined = hot_join(rows, blocked, "node", "left")
     return joined.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.coalesce(verdict, F.when(F.col("_alias_blocked"), "block"), F.lit("allow")).alias("verdict"))

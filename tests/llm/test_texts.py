@@ -235,6 +235,126 @@ def test_every_link_of_a_page_counts(spark):
     assert {r["page_id"]: r["verdict"] for r in urls.judge(frame).collect()} == {0: "block", 1: "block", 2: "block", 3: "block", 4: "allow"}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_aliases_equal_brute_force(spark, seed):
+    """Random graphs of redirects and canonical links, by a search from every page."""
+    r = random.Random(seed)
+    hosts = ["a.net", "b.example.net", "c.org", "d.org", "e.com", "example.com"]
+    nodes = [f"{r.choice(hosts)}/{r.choice(['en', 'de', 'fr', 'x'])}/{i}" for i in range(70)]
+    links, redirects = {n: set() for n in nodes}, []
+    html = dict.fromkeys(nodes, "")
+    for _ in range(60):
+        a, b = r.choice(nodes), r.choice(nodes)
+        kind = r.randrange(3)
+        if kind == 0:
+            redirects.append((f"http://{a}#top", f"https://{b}"))
+        elif kind == 1:
+            html[a] += f'<link rel="canonical" href="https://{b}">'
+        else:
+            html[a] += f"<meta http-equiv='refresh' content='0; url=//{b}'>"
+        links[a].add(b)
+        links[b].add(a)
+
+    def verdict_of(node):
+        host, path = node.split("/", 1)
+        fits = [(len(h) + len(p), v == "allow") for v, h, p in urls.RULES if (host == h or host.endswith(f".{h}")) and f"/{path}".startswith(p)]
+        return {(): None, (True,): "allow", (False,): "block"}[tuple(x[1] for x in [max(fits)])] if fits else None
+
+    want = {}
+    for i, node in enumerate(nodes):
+        seen, todo = {node}, [node]
+        while todo:
+            for other in links[todo.pop()] - seen:
+                seen.add(other)
+                todo.append(other)
+        found = {verdict_of(n) for n in seen}
+        want[i] = verdict_of(node) or ("block" if "block" in found and "allow" not in found else "allow")
+    pages = [(i, f"http://{n}", html[n]) for i, n in enumerate(nodes)] + [(None, f"http://{nodes[0]}", "")]
+    frame = spark.createDataFrame([(*p, 1) for p in pages], "page_id long, url string, html string, rule long").repartition(3)
+    rows = urls.judge(frame, redirects=spark.createDataFrame(redirects, "url string, target string")).collect()
+    got = {r["page_id"]: r["verdict"] for r in rows}
+    assert got == want | {None: want[0]} and len(rows) == len(pages)
+    assert {verdict_of(n) for n in nodes} == {None, "allow", "block"} and "block" in {want[i] for i, n in enumerate(nodes) if verdict_of(n) is None}
+
+
+def test_scores_equal_a_loop_over_the_definition():
+    """Every chunk, every place of the filters, then the maximum of each; over chunks the maximum and the mean."""
+    rows = np.random.default_rng(3)
+    net = quality.Network(rows.normal(size=(256, quality.CHANNELS)).astype(np.float32), rows.normal(size=(quality.SPAN * quality.CHANNELS, quality.FILTERS)).astype(np.float32), rows.normal(size=quality.FILTERS).astype(np.float32), rows.normal(size=2 * quality.FILTERS).astype(np.float32), 0.25)
+    texts = ["", None, "short é", sentence("en", 150), "#" * 513, "x " * 700]
+    for text, got in zip(texts, net.score(texts), strict=True):
+        data = (text or "").encode()
+        pooled, at = [], 0
+        while not pooled or at + quality.CHUNK - quality.STEP < len(data):
+            chunk = data[at : at + quality.CHUNK].ljust(quality.CHUNK, b"\0")
+            best = np.full(quality.FILTERS, -np.inf)
+            for place in range(0, quality.CHUNK - quality.SPAN + 1, quality.STRIDE):
+                window = np.concatenate([net.embedding[b] for b in chunk[place : place + quality.SPAN]])
+                best = np.maximum(best, window.astype(np.float64) @ net.filters)
+            pooled.append(np.maximum(best + net.lift, 0))
+            at += quality.STEP
+        both = np.concatenate([np.max(pooled, 0), np.mean(pooled, 0)])
+        assert abs(got - 1 / (1 + np.exp(-np.clip(both @ net.out + net.bias, -30, 30)))) < 1e-3
+
+
+def brute_features(text):
+    counts = np.zeros(langid.WIDTH)
+    data = [b if b >= 128 or 97 <= b <= 122 else 32 for b in b" " + text.lower().encode() + b" "]
+    for i in range(len(data) - 1):
+        counts[(data[i] << 8 | data[i + 1]) * 2654435761 % 2**32 >> 19] += 1
+    for i in range(len(data) - 2):
+        counts[(data[i] << 16 | data[i + 1] << 8 | data[i + 2]) * 2246822519 % 2**32 >> 19] += 1
+    return np.sqrt(counts) / np.linalg.norm(np.sqrt(counts))
+
+
+@pytest.mark.parametrize("stretch", [7, 1 << 18])
+def test_features_and_votes_equal_a_loop_over_the_definition(monkeypatch, stretch):
+    monkeypatch.setattr(langid, "STRETCH", stretch)
+    texts = ["a", "the cat", sentence("de", 40), "ÉÉ 12 zz", sentence("fr", 9)]
+    assert np.allclose(langid.features(texts), [brute_features(t) for t in texts], atol=1e-5)
+    rows = np.random.default_rng(4)
+    weights = lambda *shape: rows.normal(size=shape).astype(np.float32)
+    members = {"f": ["a", "b", "c"], "g": ["d"], "h": ["e", "i"]}
+    pairs = {("a", "b"): weights(langid.WIDTH + 1), ("a", "c"): weights(langid.WIDTH + 1), ("b", "c"): weights(langid.WIDTH + 1), ("e", "i"): weights(langid.WIDTH + 1)}
+    model = langid.LanguageModel(["f", "g", "h"], weights(langid.WIDTH + 1, 3), members, pairs)
+    soft = lambda x: np.exp(2 * np.array(x)) / np.exp(2 * np.array(x)).sum()
+    for text, lang, score in zip(texts, *model.predict(texts), strict=True):
+        x = np.append(brute_features(text), 1)
+        family = soft([x @ model.family_weights[:, k] for k in range(3)])
+        names = members[model.families[int(family.argmax())]]
+        votes = dict.fromkeys(names, 0.0)
+        for (one, other), w in pairs.items():
+            if one in votes and other in votes:
+                margin = max(-2.0, min(2.0, x @ w))
+                votes[one] += margin
+                votes[other] -= margin
+        inside = soft([votes[n] for n in names])
+        assert lang == names[int(inside.argmax())] and abs(score - family.max() * inside.max()) < 1e-4
+
+
+def test_the_sample_of_a_language_is_the_one_with_the_least_hashes(spark):
+    rows = [(i, sentence(lang, 12), lang) for i in range(400) for lang in [["en", "de"][i % 2]]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = [langid.fit(frame.repartition(n), per_language=20) for n in (1, 7)]
+    assert np.array_equal(models[0].pairs["de", "en"], models[1].pairs["de", "en"])
+
+
+def test_a_second_query_scans_nothing_anew(spark, tmp_path, monkeypatch):
+    from shardloom.llm import queries
+
+    monkeypatch.setattr(secrets, "LEDGER", f"shardloom/test-ledger-{rng.random()}")
+    frame = spark.createDataFrame([(1, "password=abcdefgh1"), (2, "clean"), (3, None)], "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    ledger = lambda: spark.read.parquet(f"{queries.scratch_root(spark)}/{secrets.LEDGER}").count()
+    first = sorted(map(str, queries.op9_secret_scans(spark, str(tmp_path)).collect()))
+    assert ledger() == 3
+    scanned = []
+    real = secrets.spans_of
+    slow = secrets.F.udf(lambda x: scanned.append(x) or 1 / 0, "int")
+    monkeypatch.setattr(secrets, "spans_of", lambda text, kind: secrets.F.when(slow(text) > 0, real(text, kind)))
+    assert sorted(map(str, queries.op9_secret_scans(spark, str(tmp_path)).collect())) == first and ledger() == 3
+
+
 def test_secrets(spark, tmp_path):
     key = "0123456789abcdef" * 2
     texts = ["", None, f"x {key} y", "Password: 'hunter2hunter2'", "token=secret:abcdefgh1", "é🙂 api_key = ABCDEFGH\nAKIA1234567890AB", "token: a token=abcdefgh, AKIA12", "secret=" + key, "password=p4ssw0rd! " * 3000, f"x {key} y"]

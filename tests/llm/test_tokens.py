@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -239,3 +240,33 @@ def test_size_that_is_not_whole_tokens_is_an_error(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"abc")
     with pytest.raises(Exception, match="whole tokens"):
         token_files.token_counts(spark, f"file://{tmp_path}").collect()
+
+
+def test_pieces_of_null_and_repeated_ids(spark):
+    rows = [(None, "a b"), (1, "x"), (1, "x"), (2, None)]
+    got = packing.pack(packing.piece_documents(spark.createDataFrame(rows, "doc_id long, text string"), PATH)).collect()
+    assert sorted((str(r["doc_id"]), r["length"]) for r in got) == sorted((str(i), len(library_ids(t)) + 1) for i, t in rows)
+    assert sorted(r["offset"] for r in got) == list(np.cumsum([0, *[r["length"] for r in sorted(got, key=lambda r: r["offset"])]])[:-1])
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.pack(packing.piece_documents(empty, PATH)).count() == 0
+
+
+def test_token_files_of_odd_tables(spark, tmp_path):
+    kind = "doc_id long, text string, file string, n_tokens string"
+    rows = [(None, "a b", "x", "y"), (1, "x", "x", "y"), (1, "x", "x", "y"), (2, None, "x", "y")]
+    path = f"file://{tmp_path}/odd"
+    where = token_files.write_token_files(spark.createDataFrame(rows, kind), path, PATH)
+    counts = where.join(token_files.token_counts(spark, path), ["file", "document"]).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in counts) == sorted((str(r[0]), len(library_ids(r[1]))) for r in rows)
+    nothing = f"file://{tmp_path}/none"
+    assert token_files.write_token_files(spark.createDataFrame([], kind), nothing, PATH).count() == 0
+
+
+def test_ids_that_do_not_fit_are_refused(spark, tmp_path, monkeypatch):
+    with pytest.raises(ValueError, match="separator"):
+        token_files.write_token_files(spark.createDataFrame([(1, "a")], "doc_id long, text string"), f"file://{tmp_path}/a", PATH, separator=1 << 16)
+    big = json.loads(open(PATH, encoding="utf-8").read())
+    big["model"]["vocab"] = {t: i + 70_000 for t, i in big["model"]["vocab"].items()}
+    (tmp_path / "big.json").write_text(json.dumps(big))
+    with pytest.raises(Exception, match="doesn't fit"):
+        token_files.write_token_files(spark.createDataFrame([(1, "a")], "doc_id long, text string"), f"file://{tmp_path}/b", str(tmp_path / "big.json"))
