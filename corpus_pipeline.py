@@ -15,18 +15,27 @@ LEAST_CONFIDENCE = 0.3
 #: Documents scored below this are rejected.
 LEAST_QUALITY = 0.3
 #: The ledger of secret scans in the shared folder, which all runs add to.
-LEDGER = "shardloom/secrets-ledger"
+LEDGER = secrets.LEDGER
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts that are null or have no letter, and those whose language can't be told. Rows stay where they are."""
+    """Rejects texts that are null or have no letter, and those whose language can't be told. Rows stay where they are.
+
+    Repeated rows are told alike, a null doc_id is kept like any other, columns may have any names, and an empty table
+    gives an empty one.
+    """
     told = unused(docs, "told")
     rows = docs.withColumn(told, langid.predicted(docs, langid.fit(docs)))
     return rows.filter((F.col(f"{told}.lang") != "und") & (F.col(f"{told}.score") >= LEAST_CONFIDENCE)).select(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the classifier scores low."""
+    """Rejects documents that the classifier scores low.
+
+    Null and empty texts are scored as empty ones; long texts are scored whole; repeated rows are scored alike; rows
+    with a null doc_id are scored but not learned from; columns may have any names, and an empty table gives an empty
+    one.
+    """
     net = quality.fit(docs, table(spark, sf_dir, "labels"))
     score = unused(docs, "score")
     return docs.withColumn(score, quality.scored(docs, net)).filter(F.col(score) >= LEAST_QUALITY).select(*docs.columns)
@@ -53,12 +62,20 @@ def _least_of_each(rows: DataFrame, key: str) -> DataFrame:
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks the secrets in every text; documents stay. Texts that the ledger has from earlier runs aren't scanned again."""
+    """Masks the secrets in every text; documents stay. Texts that the ledger has from earlier runs aren't scanned again.
+
+    Null and empty texts stay as they are; a text is scanned once however many rows repeat it, and masked in all of
+    them; n_chars follows the text; columns may have any names, and an empty table gives an empty one.
+    """
     return secrets.redact(docs, ledger_path=f"{scratch_root(spark)}/{LEDGER}")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in training sequences of 1024 tokens."""
+    """Pieces of the documents in training sequences of 1024 tokens.
+
+    A null or empty text is one piece, the end id; long texts are cut into whole sequences; repeated rows and null ids
+    are packed like any other; other columns are dropped, and an empty table gives an empty one.
+    """
     return packing.pack(packing.piece_documents(docs, vocabulary("byte_bpe_50k.json"), ids=False))
 
 
