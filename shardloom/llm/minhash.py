@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from shardloom.llm.common import connected_components, discard, hot_join, materialize, ship
 
 BUCKETS, MANTISSA = 512, 10
-#: 64 bands of 8 registers find a pair with a likeness of 0.8 with all but 8 in a million chances, and let 4 in 100 pairs
-#: with a likeness of 0.4 share a bucket, 4 in 1000 with one of 0.3.
-ROWS, BANDS = 8, 64
+#: 48 bands of 7 registers find a pair with a likeness of 0.8 with all but 13 in a million chances, and let 8 in 100 pairs
+#: with a likeness of 0.4 share a bucket, 1 in 100 with one of 0.3.
+ROWS, BANDS = 7, 48
 #: Members of a bucket that one group of a comparison holds on either side; registers of two such blocks take 256 KB.
 BLOCK = 128
 #: Neighbours in its buckets that each class is compared with first.
-FIRST = 4
+FIRST = 2
 
 _rng = np.random.default_rng(20240229)
 _COEFFICIENT = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -135,11 +135,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def worth(guess: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Is the estimate high enough for an exact check? It may be five standard errors low, and lower by what shingles of
+    """Is the estimate high enough for an exact check? It may be 4.5 standard errors low (3 in a million are), and lower by what shingles of
     small sets that fall into one bucket can hide. Sizes alone rule out others."""
     wanted = percent / 100
     few, many = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    return (guess >= wanted - 5 * np.sqrt(wanted * (1 - wanted) / BUCKETS) - 2 / few) & (few >= wanted * many)
+    return (guess >= wanted - 4.5 * np.sqrt(wanted * (1 - wanted) / BUCKETS) - 2 / few) & (few >= wanted * many)
 
 
 def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -372,20 +372,37 @@ def _checked(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.select("key", "x", "y", "id", "component", "mates", "hashes").mapInArrow(run, "a long, b long")
 
 
-def _across(found: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between members of a bucket that are in different components, enough to join all that are linked.
-
-    found: key, id of buckets' members. In each bucket the members outside its commonest component are compared with all
-    members. A bucket of up to BLOCK members is one group; larger ones are dealt into blocks of about that size, and
-    each pair of blocks is a group. Of a group, registers are compared first; full sets are fetched for members of pairs
-    that the estimate lets through, and only links come out, fewer than the group has members.
-    """
+def _mixed(found: DataFrame, components: DataFrame) -> DataFrame:
+    """key, id, component, main, q, t: members of buckets that hold several components, with their bucket's commonest one,
+    and how many members are outside it (q) and in all (t). found: key, id of buckets' members."""
     named = found.select("key", "id").join(components, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     named = materialize(named, "named")
     sizes = named.groupBy("key", "component").count()
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("_c"), F.sum("count").alias("_t"), F.max(F.struct("count", "component")).alias("_m")).filter("_c > 1")
     mixed = materialize(mixed.select("key", F.col("_m.component").alias("main"), (F.col("_t") - F.col("_m.count")).alias("q"), F.col("_t").alias("t")), "mixed")
     members = materialize(hot_join(named, mixed, "key"), "members")
+    discard(named)
+    discard(mixed)
+    return members
+
+
+def _to_main(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member outside its bucket's commonest component with two members of that, drawn by a hash."""
+    place = F.xxhash64("key", "id")
+    drawn = members.filter("component = main").groupBy("key").agg(F.array_distinct(F.array(F.min_by("id", place), F.max_by("id", place))).alias("drawn"))
+    outside = materialize(members.filter("component <> main").select("key", "id"), "outside")
+    pairs = hot_join(outside, drawn, "key").select(F.col("id").alias("a"), F.explode("drawn").alias("b")).distinct()
+    return pairs
+
+
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different components, enough to join all that are linked.
+
+    In each bucket the members outside its commonest component are compared with all members. A bucket of up to BLOCK
+    members is one group; larger ones are dealt into blocks of about that size, and each pair of blocks is a group. Of a
+    group, registers are compared first; full sets are fetched for members of pairs that the estimate lets through, and
+    only links come out, fewer than the group has members.
+    """
     whole, ours = F.col("t") <= BLOCK, F.col("component") != F.col("main")
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     place = lambda c: F.pmod(F.xxhash64("id"), blocks(c)).cast("int")
@@ -397,8 +414,8 @@ def _across(found: DataFrame, components: DataFrame, sets: DataFrame, percent: i
     signed = hot_join(rows, sets.select("id", "n", "registers"), "id")
     candidates = materialize(_candidates(signed, percent), "candidates")
     links = materialize(_checked(candidates, sets, percent), "links-across")
-    for old in (named, mixed, members, rows, candidates):
-        discard(old)
+    discard(rows)
+    discard(candidates)
     return links
 
 
@@ -411,8 +428,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     count as one document. An empty table gives an empty result. Long texts are read whole; other columns are not read.
 
     Equal sets are one class, which its least id stands for. Classes that share a band's bucket are candidates. Each
-    class is first compared with the neighbours that precede it in most of its buckets; then, bucket by bucket, members
-    that are still in different components are compared, in blocks of bounded size. Registers decide which pairs are
+    class is first compared with the neighbours that precede it in most of its buckets; then those outside the commonest
+    component of a bucket with two members of that; then, bucket by bucket, all members that are still in different
+    components, in blocks of bounded size. Registers decide which pairs are
     worth an exact check, so full sets are read for few; of each block only as many links come out as it takes to join
     it. No candidate link is lost, no pair is compared that shares no bucket, and nothing is gathered on the driver.
     """
@@ -430,15 +448,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = materialize(_sets(docs, found.select("id").distinct(), width), "sets")
     first = materialize(_verified(pairs, sets, percent), "links-first")
     stars = connected_components(first, contract=True)
-    last = _across(found, stars, sets, percent)
-    links = stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(last)
-    components = connected_components(links, contract=True)
+    members = _mixed(found, stars)
+    second = materialize(_verified(_to_main(members), sets, percent), "links-second")
+    joined = connected_components(stars.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second), contract=True)
+    discard(members)
+    members = _mixed(found, joined)
+    last = _across(members, sets, percent)
+    components = connected_components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(last), contract=True)
 
     of_class = classes.select("set_key", F.col("c.doc_id").alias("id")).join(components, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     of_class = materialize(of_class, "classes")
     rows = signed.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
     rows = materialize(rows, "rows")
-    for old in (signed, found, sets, first, stars, last, components):
+    for old in (signed, found, sets, first, stars, second, joined, members, last, components):
         discard(old)
     joined = hot_join(rows, of_class, "set_key", "left")
     component = F.coalesce("component", "doc_id")
