@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from shardloom.session import ship
+
 
 def iso_time(us: Column) -> Column:
     """ISO 8601 in UTC from microseconds, with a fraction only if there is one; '-' for null."""
@@ -25,9 +30,18 @@ def report_duration(seconds: Column) -> Column:
     return F.when(h > 0, F.format_string("%dh %dm %.1fs", h, m, rest)).when(m > 0, F.format_string("%dm %.1fs", m, rest)).otherwise(F.format_string("%.3fs", s))
 
 
+#: Characters that file names may not have.
+REFUSED = r'[<>:"/\\|?*]+'
+
+
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def safe_name(text: Column) -> Column:
     """A folder name: runs of characters that file systems refuse, and of white space, become '_'; empty is 'unknown'."""
-    clean = F.regexp_replace(F.regexp_replace(F.trim(text), r'[<>:"/\\|?*]+', "_"), r"\s+", "_")
+    clean = F.regexp_replace(F.regexp_replace(stripped(text), REFUSED, "_"), r"\s+", "_")
     return F.when(F.coalesce(clean, F.lit("")) == "", "unknown").otherwise(clean)
 
 
@@ -43,12 +57,16 @@ def channel_label(texts: Column, relaxed: bool = False) -> Column:
     return F.when(digits != "", F.format_string("CAM%02d", number))
 
 
+#: Fixed value: a date and time in an overlay.
 _DATE = r"\b(20\d{2})[/-](\d{1,2})[/-](\d{1,2})\s+(\d{1,2}):(\d{2}):(\d{2})\b"
 
 
 def overlay_time(texts: Column) -> Column:
-    """The first date and time in an array of overlay texts, in UTC; null if there is none or it isn't on the calendar."""
-    joined = normal_overlay(F.array_join(texts, " "))
+    """The first date and time in an array of overlay texts, in UTC; null if there is none or it isn't on the calendar.
+
+    Texts are searched as they were read, only stripped: unlike labels, they aren't mended first.
+    """
+    joined = F.array_join(F.filter(F.transform(texts, stripped), lambda t: t != ""), " ")
     part = [F.regexp_extract(joined, _DATE, i).try_cast("int") for i in range(1, 7)]
     return F.when(part[0].isNotNull(), F.try_make_timestamp(*part[:5], part[5].cast("decimal(8,6)"), F.lit("UTC")))
 
@@ -81,27 +99,43 @@ def time_check(record_us: Column, overlay_us: Column) -> Column:
 TEXT_KEYS = ["text", "rec_text", "content", "text_content", "markdown"]
 
 
-def overlay_texts(result: Column, depth: int = 3) -> Column:
-    """array<string> of the distinct texts in a recognition result as JSON: a string; a list, to a bounded depth; or an
-    object (or its res) with parsing_res_list[*].block_content and then the text keys. Null for what isn't JSON."""
-    none = F.array().cast("array<string>")
-
-    def string_at(json: Column, path: str) -> Column:
-        found = F.try_variant_get(json, path, "variant")
-        return F.when(F.schema_of_variant(found) == "STRING", F.try_variant_get(json, path, "string"))
-
-    def of(json: Column, level: int) -> Column:
-        kind = F.schema_of_variant(json)
-        inner = F.coalesce(F.try_variant_get(json, "$.res", "variant"), json)
-        blocks = F.coalesce(F.try_variant_get(inner, "$.parsing_res_list", "array<variant>"), F.array().cast("array<variant>"))
-        own = F.transform(blocks, lambda b: string_at(b, "$.block_content"))
-        found = F.concat(own, F.array(*[string_at(inner, f"$.{k}") for k in TEXT_KEYS]))
-        nested = F.flatten(F.transform(F.try_variant_get(json, "$", "array<variant>"), lambda x: of(x, level - 1))) if level else none
-        return F.when(kind == "STRING", F.array(F.try_variant_get(json, "$", "string"))).when(F.startswith(kind, F.lit("ARRAY")), nested).when(F.startswith(kind, F.lit("OBJECT")), found).otherwise(none)
-
-    value = F.try_parse_json(result)
-    texts = F.filter(F.transform(of(value, depth), lambda t: F.regexp_replace(t, r"^\s+|\s+$", "")), lambda t: t.isNotNull() & (t != ""))
-    return F.when(value.isNotNull(), F.array_distinct(texts))
+def useful_texts(result: str | None) -> list[str] | None:
+    """The distinct texts in a recognition result as JSON: a string; those of a list's items, at any depth; or an object
+    (or its res) with parsing_res_list[*].block_content and then the text keys. None for what isn't JSON, and for a res
+    that isn't an object."""
+    try:
+        todo = [json.loads(result)]
+    except (TypeError, ValueError, RecursionError):
+        return None
+    found: dict[str, None] = {}
+    while todo:
+        value = todo.pop()
+        if isinstance(value, list):
+            todo += reversed(value)
+        elif isinstance(value, dict):
+            inner = value.get("res", value)
+            if not isinstance(inner, dict):
+                return None
+            blocks = inner.get("parsing_res_list")
+            texts = [b.get("block_content") for b in blocks if isinstance(b, dict)] if isinstance(blocks, list) else []
+            for text in [*texts, *(inner.get(k) for k in TEXT_KEYS)]:
+                if isinstance(text, str):
+                    found[text.strip()] = None
+        elif isinstance(value, str):
+            found[value.strip()] = None
+    found.pop("", None)
+    return list(found)
+
+
+def overlay_texts(result: Column) -> Column:
+    """array<string> by useful_texts(), in one pass over batches."""
+    ship(SparkSession.active())
+
+    @F.pandas_udf("array<string>")
+    def texts(results: pd.Series) -> pd.Series:
+        return results.map(useful_texts, na_action="ignore").where(results.notna(), None)
+
+    return texts(result)
 
 
 def chunk_number(path: Column) -> Column:

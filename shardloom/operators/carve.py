@@ -1,7 +1,7 @@
 """Carving of raw disk images: fragments between long runs of zero bytes, their records, category and codec.
 
-Two passes. The first looks for zero runs in byte ranges that any task can read alone; runs that touch a range's edge
-are stitched by a window. Fragments follow from the runs by arithmetic. The second pass reads the fragments, in blocks,
+Two passes. The first looks for zero runs in byte ranges that any task can read alone; only runs that touch a range's
+edge are stitched by a window. Fragments follow from the runs by arithmetic, range by range. The second pass reads the fragments, in blocks,
 and brings back markers and times, never bytes.
 """
 
@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -95,9 +96,12 @@ def image_ranges(spark: SparkSession, images: list[str], config: CarveConfig) ->
 
 
 def zero_runs(ranges: DataFrame, zero_run: int) -> DataFrame:
-    """path, size, start, length of maximal zero runs of at least zero_run bytes, over all ranges of an image."""
+    """path, size, start, length of maximal zero runs of at least zero_run bytes, over all ranges of an image.
+
+    At most two runs of a range touch its edges; these alone are gathered by image, the others are whole as they are.
+    """
     ship(ranges.sparkSession)
-    out = pa.schema([("path", pa.string()), ("size", pa.int64()), ("start", pa.int64()), ("length", pa.int64())])
+    out = pa.schema([("path", pa.string()), ("size", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("edge", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,14 +112,16 @@ def zero_runs(ranges: DataFrame, zero_run: int) -> DataFrame:
                     data = np.frombuffer(source.read(stop - start), np.uint8)
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], data == 0, [False]]).astype(np.int8)))
                 begin, end = edges[::2], edges[1::2]
-                keep = (end - begin >= zero_run) | (begin == 0) | (end == len(data))
-                begin, end = begin[keep], end[keep]
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(begin)), pa.array(np.full(len(begin), size)), pa.array(begin + start), pa.array(end - begin)], schema=out)
+                edge = (begin == 0) | (end == len(data))
+                keep = (end - begin >= zero_run) | edge
+                begin, end, edge = begin[keep], end[keep], edge[keep]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(begin)), pa.array(np.full(len(begin), size)), pa.array(begin + start), pa.array(end - begin), pa.array(edge)], schema=out)
 
-    parts = ranges.select("path", "size", "start", "stop").mapInArrow(run, "path string, size long, start long, length long")
+    parts = ranges.select("path", "size", "start", "stop").mapInArrow(run, "path string, size long, start long, length long, edge boolean")
     by = Window.partitionBy("path").orderBy("start")
-    islands = parts.withColumn("_new", (F.coalesce(F.lag(F.col("start") + F.col("length")).over(by), F.lit(-1)) != F.col("start")).cast("int")).withColumn("_island", F.sum("_new").over(by))
-    return islands.groupBy("path", "_island").agg(F.max("size").alias("size"), F.min("start").alias("start"), F.sum("length").alias("length")).filter(F.col("length") >= zero_run).drop("_island")
+    edges = parts.filter("edge").withColumn("_new", (F.coalesce(F.lag(F.col("start") + F.col("length")).over(by), F.lit(-1)) != F.col("start")).cast("int")).withColumn("_island", F.sum("_new").over(by))
+    stitched = edges.groupBy("path", "_island").agg(F.max("size").alias("size"), F.min("start").alias("start"), F.sum("length").alias("length")).filter(F.col("length") >= zero_run).drop("_island")
+    return parts.filter("not edge").select("path", "size", "start", "length").unionByName(stitched)
 
 
 def fragments(ranges: DataFrame, config: CarveConfig) -> DataFrame:
@@ -127,10 +133,14 @@ def fragments(ranges: DataFrame, config: CarveConfig) -> DataFrame:
     after = runs.select("path", "size", (F.col("start") + F.col("length") - F.pmod(F.col("length"), F.lit(config.zero_run))).alias("start"))
     ends = runs.select("path", F.col("start").alias("stop"))
     starts = ranges.groupBy("path").agg(F.max("size").alias("size")).select("path", "size", F.lit(config.region_start).cast("long").alias("start")).unionByName(after)
-    by = Window.partitionBy("path").orderBy("_at", "_kind").rowsBetween(1, Window.unboundedFollowing)
     marks = starts.select("path", "size", F.col("start").alias("_at"), F.lit(0).alias("_kind")).unionByName(ends.select("path", F.lit(None).cast("long").alias("size"), F.col("stop").alias("_at"), F.lit(1).alias("_kind")))
-    following = F.min(F.when(F.col("_kind") == 1, F.col("_at"))).over(by)
-    return marks.withColumn("_next", following).filter("_kind = 0").select("path", F.col("_at").alias("start"), F.coalesce("_next", "size").alias("stop")).filter(F.col("stop") - F.col("start") >= config.min_bytes)
+    # starts and stops alternate, so a start's stop is the next mark; beyond its stretch of the image, the first of a later one
+    marks = marks.withColumn("_part", F.floor(F.col("_at") / config.range_bytes))
+    following = F.lead("_at").over(Window.partitionBy("path", "_part").orderBy("_at", "_kind"))
+    firsts = marks.groupBy("path", "_part").agg(F.min("_at").alias("_first"))
+    later = firsts.select("path", "_part", F.lead("_first").over(Window.partitionBy("path").orderBy("_part")).alias("_later"))
+    found = marks.withColumn("_next", following).filter("_kind = 0").join(later, ["path", "_part"])
+    return found.select("path", F.col("_at").alias("start"), F.coalesce("_next", "_later", "size").alias("stop")).filter(F.col("stop") - F.col("start") >= config.min_bytes)
 
 
 _MARKS = "array<struct<pos:bigint,codec:int,ts_us:bigint>>"
@@ -175,15 +185,19 @@ def split_places(size: int, pos: list[int], ts_us: list[int | None], oversize: i
     A record whose time reaches beyond its part's end isn't one of the part's. Steps are in seconds as floating-point
     numbers; the first of equal ones counts; fewer than four records, or no step of so many seconds, keep a part whole.
     """
+    timed = np.array([t is not None and t >= 0 for t in ts_us], bool)
+    at, times = np.asarray(pos, np.int64)[timed], np.array([t for t, good in zip(ts_us, timed, strict=True) if good], np.int64) / 1e6
+    steps = np.abs(np.diff(times))
     parts, todo = [], [(0, size)]
     while todo:
         lo, hi = todo.pop()
         place = None
         if hi - lo > oversize:
-            inside = [(p, t / 1e6) for p, t in zip(pos, ts_us, strict=True) if t is not None and p >= lo and p + B.RECORD_SIZE <= hi]
-            steps = [abs(b[1] - a[1]) for a, b in zip(inside, inside[1:], strict=False)]
-            if len(inside) >= 4 and max(steps) >= seconds and max(steps) > 0:
-                place = inside[steps.index(max(steps)) + 1][0]
+            a, b = np.searchsorted(at, [lo, hi - B.RECORD_SIZE + 1])
+            if b - a >= 4:
+                step = int(steps[a : b - 1].argmax())
+                if steps[a + step] >= seconds and steps[a + step] > 0:
+                    place = int(at[a + step + 1])
         if place is not None and lo < place < hi:
             todo += [(place, hi), (lo, place)]
         else:
@@ -197,13 +211,14 @@ def split_oversized(found: DataFrame, config: CarveConfig) -> DataFrame:
     rest = [f for f in found.columns if f not in ("start", "stop", "marks")]
     oversize, seconds = config.oversize_bytes, config.split_seconds
 
-    @F.udf("array<struct<lo:bigint,hi:bigint>>")
-    def places(size, marks):
-        return split_places(size, [m["pos"] for m in marks], [m["ts_us"] for m in marks], oversize, seconds)
+    @F.pandas_udf("array<struct<lo:bigint,hi:bigint>>")
+    def places(sizes: pd.Series, pos: pd.Series, ts_us: pd.Series) -> pd.Series:
+        return pd.Series([[{"lo": lo, "hi": hi} for lo, hi in split_places(*x, oversize, seconds)] for x in zip(sizes.tolist(), pos, ts_us, strict=True)], dtype=object)
 
+    each = lambda f: F.transform("marks", f)
     size = F.col("stop") - F.col("start")
     small = found.filter(size <= oversize)
-    large = found.filter(size > oversize).withColumn("_p", F.explode(places(size, "marks")))
+    large = found.filter(size > oversize).withColumn("_p", F.explode(places(size, each(lambda m: m["pos"]), each(lambda m: F.coalesce(m["ts_us"], F.lit(-1).cast("long"))))))
     inside = F.transform(F.filter("marks", lambda m: (m["pos"] >= F.col("_p.lo")) & (m["pos"] + 3 <= F.col("_p.hi"))), lambda m: F.struct((m["pos"] - F.col("_p.lo")).alias("pos"), m["codec"].alias("codec"), F.when(m["pos"] + B.RECORD_SIZE <= F.col("_p.hi"), m["ts_us"]).alias("ts_us")))
     parts = large.select(*rest, (F.col("start") + F.col("_p.lo")).alias("start"), (F.col("start") + F.col("_p.hi")).alias("stop"), inside.alias("marks"))
     return small.select(*rest, "start", "stop", "marks").unionByName(parts).filter(F.col("stop") - F.col("start") >= config.min_bytes)
@@ -250,9 +265,10 @@ def carve(spark: SparkSession, image: str, config: CarveConfig = CarveConfig())
     return described(found, F.lit(boundary).cast("long"), config)
 
 
-def manifest(described_: DataFrame) -> DataFrame:
-    """The thirteen columns of the manifest as text and numbers."""
+def manifest(described_: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """The thirteen columns of the manifest as text and numbers, behind others that are kept."""
     return described_.select(
+        *keep,
         "category", "filename", B.hex_offset(F.col("abs_start")).alias("abs_start_hex"), B.hex_offset(F.col("abs_end")).alias("abs_end_hex"), (F.col("abs_end") - F.col("abs_start")).alias("size_bytes"), "reason",
         F.col("ts_count").alias("timestamp_count"), F.col("ts_in_new").alias("timestamps_in_new_session"), T.iso_time(F.col("first_us")).alias("first_timestamp_utc"), T.iso_time(F.col("median_us")).alias("median_timestamp_utc"),
         "codec", F.col("h264_count").alias("h264_marker_count"), F.col("h265_count").alias("h265_marker_count"),

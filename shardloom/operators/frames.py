@@ -115,11 +115,19 @@ def candidate_images(frames: DataFrame, config: CandidateConfig = CandidateConfi
     return frames.select("path", "height", "width", "data").mapInPandas(run, "path string, candidate int, height int, width int, channels int, data binary")
 
 
+#: Seconds at which a clip's middle frame is looked for, where its codec's first frames are damaged; and
+#: where they are sound, with a known duration or without one (none: the clip's start, without seeking).
+LATE_SEEKS, EARLY_SEEKS, BLIND_SEEKS = [2.0, 3.0, 5.0, 8.0, 10.0, 15.0], [None, 1.0, 2.0], [None, 1.0, 2.0, 3.0]
+
+
 def middle_seeks(codec: Column, duration: Column) -> Column:
-    """array<double>: where a clip's middle frame is looked for, in turn; an empty array is its start."""
-    half = F.when(duration.isNotNull(), F.array(duration / 2, duration / 4, 3 * duration / 4)).otherwise(F.array().cast("array<double>"))
-    late = F.array(*[F.lit(x) for x in (2.0, 5.0, 10.0)])
-    return F.when(codec == "hevc", F.concat(half, late)).otherwise(half)
+    """array<double>: where a clip's middle frame is looked for, in turn: first at half its duration, if that is known
+    and not zero; a null is its start."""
+    seconds = lambda values: F.array(*[F.lit(x).cast("double") for x in values])
+    known = F.coalesce(duration != 0, F.lit(False))
+    half = F.when(known, F.array(duration / 2)).otherwise(F.array().cast("array<double>"))
+    sound = F.when(known, F.concat(half, seconds(EARLY_SEEKS))).otherwise(seconds(BLIND_SEEKS))
+    return F.when(codec == "hevc", F.concat(half, seconds(LATE_SEEKS))).otherwise(sound)
 
 
 def best_frame(frames: DataFrame, least: float = 20.0) -> DataFrame:

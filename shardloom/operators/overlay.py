@@ -15,7 +15,8 @@ from shardloom.functions import text as T
 
 def candidate_readings(results: DataFrame) -> DataFrame:
     """path, candidate, texts, label, overlay_ts of each recognition result; a result that isn't JSON is an error."""
-    texts = results.select("path", "candidate", T.overlay_texts(F.col("result")).alias("texts"), (F.try_parse_json("result").isNull() & F.col("result").isNotNull()).alias("broken"))
+    texts = results.select("path", "candidate", "result", T.overlay_texts(F.col("result")).alias("texts"))
+    texts = texts.select("path", "candidate", "texts", (F.col("texts").isNull() & F.col("result").isNotNull()).alias("broken"))
     return texts.select("path", "candidate", "texts", "broken", T.channel_label(F.col("texts")).alias("label"), T.overlay_time(F.col("texts")).alias("overlay_ts"))
 
 

@@ -103,10 +103,9 @@ def codec_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_EVENTS_SQL} SELECT user_id, us AS middle_us, n::BIGINT AS n FROM (SELECT user_id, us, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM ev) WHERE i = n // 2""")
 def positional_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: the middle time by place."""
-    by = Window.partitionBy("user_id")
-    rows = _events(spark, sf_dir).withColumns({"i": F.row_number().over(by.orderBy("event_id")) - 1, "n": F.count(F.lit(1)).over(by)})
-    return rows.filter(F.col("i") == F.floor(F.col("n") / 2)).select("user_id", F.col("us").alias("middle_us"), "n")
+    """A3: the middle time by place, of each camera's records in order."""
+    found = _events(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct(F.col("event_id").alias("pos"), F.col("us").alias("ts_us")))).alias("r"))
+    return found.select("user_id", B.middle_time(F.col("r")).alias("middle_us"), F.size("r").cast("long").alias("n"))
 
 
 _CLASSIFY_SQL = f"""WITH {_EVENTS_SQL}, b AS (SELECT (min(us) + max(us)) // 2 AS boundary FROM ev),
@@ -125,15 +124,38 @@ def classify_old_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("user_id", "c.category", "c.ts_count", "c.ts_in_new", F.round("c.ts_ratio", 6).alias("ts_ratio"), "c.first_us", "c.median_us")
 
 
-@query(f"""WITH {_EVENTS_SQL}, s AS (SELECT user_id, event_id, abs(us / 1e6 - lag(us / 1e6) OVER (PARTITION BY user_id ORDER BY event_id)) AS step, count(*) OVER (PARTITION BY user_id) AS n FROM ev),
- r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY step DESC, event_id) AS rn FROM s WHERE step IS NOT NULL AND n >= 4) SELECT user_id, event_id AS split_at, round(step, 3) AS step_s FROM r WHERE rn = 1 AND step >= 2.0""")
+def _fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fragment a camera, as scanned: a record of every event in order, forty bytes apart."""
+    found = _events(spark, sf_dir).groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "us"))).alias("e"))
+    marks = F.transform("e", lambda x, i: F.struct((i * 40).cast("long").alias("pos"), F.when(x["event_id"] % 2 == 0, 264).otherwise(265).alias("codec"), x["us"].alias("ts_us")))
+    return found.select(F.format_string("/images/%d.img", "user_id").alias("path"), F.lit(0).cast("long").alias("start"), (F.size("e") * 40).cast("long").alias("stop"), marks.alias("marks"))
+
+
+_SPLIT = carve.CarveConfig(oversize_bytes=1200, split_seconds=2.0, min_bytes=100)
+_PARTS_SQL = f"""RECURSIVE {_EVENTS_SQL}, rd AS (SELECT user_id, us, event_id, 40 * (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) AS pos FROM ev),
+ st AS (SELECT user_id, pos, lag(pos) OVER w AS before, abs(us / 1e6 - lag(us / 1e6) OVER w) AS step FROM rd WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+ parts AS (SELECT user_id, 0::BIGINT AS lo, 40 * count(*)::BIGINT AS hi, false AS done FROM ev GROUP BY user_id
+  UNION ALL SELECT user_id, unnest(CASE WHEN place IS NULL THEN [lo] ELSE [lo, place] END) AS lo, unnest(CASE WHEN place IS NULL THEN [hi] ELSE [place, hi] END) AS hi, place IS NULL AS done
+  FROM (SELECT p.user_id, p.lo, p.hi, (SELECT CASE WHEN p.hi - p.lo > 1200 AND count(*) >= 3 AND max(step) >= 2.0 THEN arg_max(pos, [step, -pos]) END FROM st WHERE st.user_id = p.user_id AND st.before >= p.lo AND st.pos + {B.RECORD_SIZE} <= p.hi) AS place FROM parts p WHERE NOT p.done)),
+ frag AS (SELECT user_id, lo, hi FROM parts WHERE done AND hi - lo >= 100)"""
+
+
+@query(f"WITH {_PARTS_SQL} SELECT '/images/' || user_id || '.img' AS path, lo AS start, hi AS stop, hi - lo AS bytes, (SELECT count(*) FROM rd WHERE rd.user_id = frag.user_id AND rd.pos >= lo AND rd.pos + 3 <= hi)::BIGINT AS n_marks FROM frag")
 def largest_gap_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where the largest step in time is, the first of equal ones."""
-    by = Window.partitionBy("user_id").orderBy("event_id")
-    s = F.col("us") / 1e6
-    steps = _events(spark, sf_dir).select("user_id", "event_id", F.abs(s - F.lag(s).over(by)).alias("step"), F.count(F.lit(1)).over(Window.partitionBy("user_id")).alias("n"))
-    best = steps.filter("step is not null and n >= 4").groupBy("user_id").agg(F.max(F.struct("step", -F.col("event_id"))).alias("m"))
-    return best.filter("m.step >= 2.0").select("user_id", (-F.col("m.col2")).alias("split_at"), F.round("m.step", 3).alias("step_s"))
+    """Oversize fragments cut at their largest step in time, the first of equal ones, and their parts again."""
+    return carve.split_oversized(_fragments(spark, sf_dir), _SPLIT).select("path", "start", "stop", (F.col("stop") - F.col("start")).alias("bytes"), F.size("marks").cast("long").alias("n_marks"))
+
+
+@query(f"""WITH {_PARTS_SQL}, b AS (SELECT min(us // 1000000) * 1000000 + 40000000000000 // 1000 AS boundary FROM ev), t AS (SELECT frag.user_id, lo, hi, list(us ORDER BY pos) FILTER (pos + {B.RECORD_SIZE} <= hi) AS ts, count(*) FILTER (event_id % 2 = 0)::BIGINT AS h264, count(*) FILTER (event_id % 2 = 1)::BIGINT AS h265 FROM frag JOIN rd ON rd.user_id = frag.user_id AND rd.pos >= lo AND rd.pos + 3 <= hi GROUP BY frag.user_id, lo, hi),
+ c AS (SELECT *, ts[len(ts) // 2 + 1] AS median_us, CASE WHEN ts[len(ts) // 2 + 1] >= boundary THEN 'new' ELSE 'old' END AS category, CASE WHEN h264 >= h265 THEN 'h264' ELSE 'h265' END AS codec FROM t, b),
+ n AS (SELECT *, row_number() OVER (PARTITION BY user_id, category ORDER BY lo) AS k FROM c)
+ SELECT '/images/' || user_id || '.img' AS path, category, category || '_' || codec || '_chunk_' || lpad(k::VARCHAR, 4, '0') || '.dat' AS filename, printf('0x%X', lo) AS abs_start_hex, printf('0x%X', hi) AS abs_end_hex, hi - lo AS size_bytes, len(ts)::BIGINT AS timestamp_count, len(list_filter(ts, lambda x: x >= boundary))::BIGINT AS timestamps_in_new_session, codec, h264 AS h264_marker_count, h265 AS h265_marker_count FROM n""")
+def carve_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fragments split, classified against the header's boundary, numbered and listed."""
+    first = carve.boundary_of(_events(spark, sf_dir).select((F.floor(F.col("us") / 1_000_000)).alias("start_time"))).select((F.col("boundary_us") + 40_000_000_000).alias("boundary_us"))
+    found = carve.split_oversized(_fragments(spark, sf_dir), _SPLIT).join(F.broadcast(first))
+    rows = carve.described(found, F.col("boundary_us"), _SPLIT)
+    return carve.manifest(rows, ["path"]).select("path", "category", "filename", "abs_start_hex", "abs_end_hex", "size_bytes", "timestamp_count", "timestamps_in_new_session", "codec", "h264_marker_count", "h265_marker_count")
 
 
 @query("""SELECT 'old' AS category, count(*) FILTER (o_orderstatus = 'F')::BIGINT AS chunks, coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)) FILTER (o_orderstatus = 'F'), 0)::BIGINT AS bytes FROM orders
@@ -146,14 +168,15 @@ def category_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carve.category_totals(rows)
 
 
-@query("SELECT user_id, event_id % 1000 AS index, 20480 + 64 + 16 * (event_id % 1000) AS abs_offset, epoch_us(ts) // 1000000 AS start_time, event_id % 65536 AS group_num FROM events")
+@query("SELECT event_id % 50 AS index, 20480 + 64 + 16 * (event_id % 50) AS abs_offset, epoch_us(ts) // 1000000 AS start_time, event_id % 65536 AS group_num FROM events")
 def block_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header entries with times, from bytes."""
+    """The entries of headers' bytes that aren't zero and have a plausible time. A header an event."""
     le = lambda v, n: F.unhex(F.concat(*[F.substring(F.lpad(F.hex(v), 2 * n, "0"), 1 + 2 * k, 2) for k in range(n - 1, -1, -1)]))
-    entry = F.concat(F.lit(b"\0" * 4), le(F.floor(F.col("us") / 1_000_000), 4), F.lit(b"\0" * 4), le(F.pmod("event_id", F.lit(65536)), 2), F.lit(b"\0" * 2))
-    rows = _events(spark, sf_dir).select("user_id", F.pmod("event_id", F.lit(1000)).alias("index"), entry.alias("e"))
-    at = F.col("index") * carve.ENTRY_SIZE + carve.ENTRIES_AT + carve.HEADER_AT
-    return rows.select("user_id", "index", at.alias("abs_offset"), B.u32_le(F.col("e"), F.lit(4)).alias("start_time"), B.u16_le(F.col("e"), F.lit(12)).alias("group_num")).filter(B.plausible_seconds(F.col("start_time")))
+    entry = lambda seconds: F.concat(F.lit(b"\0" * 4), le(seconds, 4), F.lit(b"\0" * 4), le(F.pmod("event_id", F.lit(65536)), 2), F.lit(b"\0" * 2))
+    before = F.unhex(F.repeat(F.lit("00"), (carve.ENTRIES_AT + carve.ENTRY_SIZE * F.pmod("event_id", F.lit(50))).cast("int")))
+    # behind the entry, one with a time that isn't plausible
+    headers = _events(spark, sf_dir).select(F.concat(before, entry(F.floor(F.col("us") / 1_000_000)), entry(F.lit(7).cast("long"))).alias("header"))
+    return carve.block_groups(headers, "header").select(F.col("index").cast("long").alias("index"), "abs_offset", "start_time", "group_num")
 
 
 # ---- gaps and fillers
@@ -181,31 +204,59 @@ def chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.chain_edges(_sessions(spark, sf_dir), ["user_id"], "key", 12 * HOUR)
 
 
-@query(f"""WITH {_FILLS_SQL} SELECT g.user_id, g.chunk, f.key, round(CASE WHEN close_us <= open_us THEN 1.0 ELSE greatest(0.0, (least(f.last_us, close_us) - greatest(f.first_us, open_us))::DOUBLE / (close_us - open_us)) END, 6) AS coverage,
- round(greatest(0, f.first_us - open_us) / 1e6, 6) AS missing_before, round(greatest(0, close_us - f.last_us) / 1e6, 6) AS missing_after, round(greatest(0, open_us - f.first_us) / 1e6, 6) AS overhang_before, round(greatest(0, f.last_us - close_us) / 1e6, 6) AS overhang_after
- FROM gaps g JOIN fills f ON g.user_id = f.user_id AND f.last_us > g.open_us - 3600000000 AND f.first_us < g.close_us + 3600000000 AND f.last_us > f.first_us""")
+@query(f"""WITH {_FILLS_SQL}, c AS (SELECT g.user_id, g.chunk, f.key, open_us, close_us, f.first_us AS a1, f.last_us AS b1, f.last_us + CASE WHEN g.chunk % 2 = 0 THEN 1200000000 ELSE -700000000 END AS a2, f.last_us + 5400000000 AS b2
+  FROM gaps g JOIN fills f ON g.user_id = f.user_id AND f.last_us > g.open_us - 3600000000 AND f.first_us < g.close_us + 3600000000 AND f.last_us > f.first_us),
+ x AS (SELECT *, CASE WHEN close_us <= open_us THEN 1.0 ELSE greatest(0.0, (least(b2, close_us) - greatest(a1, open_us))::DOUBLE / (close_us - open_us)) END AS cov, greatest(0, a1 - open_us) AS mb, greatest(0, close_us - b2) AS ma, greatest(0, open_us - a1) AS ob, greatest(0, b2 - close_us) AS oa FROM c)
+ SELECT user_id, chunk, key, round(cov, 6) AS coverage, cov >= 0.95 AND mb <= 3600000000 AND ma <= 3600000000 AND ob <= 3600000000 AND oa <= 3600000000 AS "full", round(mb / 1e6, 6) AS missing_before, round(ma / 1e6, 6) AS missing_after, round(ob / 1e6, 6) AS overhang_before, round(oa / 1e6, 6) AS overhang_after,
+ round(greatest(0, a2 - b1) / 1e6, 6) AS internal_gap_s, round(greatest(0, b1 - a2) / 1e6, 6) AS overlap_s, 2::INT AS n_chunks FROM x""")
 def chain_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What chains of one fragment cover, lack and have too much."""
+    """What chains of two fragments, with a hole or an overlap between them, cover, lack and have too much."""
     found = gaps.interval_candidates(_gaps(spark, sf_dir), _fills(spark, sf_dir), ["user_id"], HOUR, 24 * HOUR)
-    rows = found.withColumn("s", gaps.chain_stats(F.array(F.struct("first_us", "last_us")), F.col("open_us"), F.col("close_us"), HOUR))
-    return rows.select("user_id", "chunk", "key", *[F.round(f"s.{c}", 6).alias(c) for c in ("coverage", "missing_before", "missing_after", "overhang_before", "overhang_after")])
+    second = F.struct((F.col("last_us") + F.when(F.col("chunk") % 2 == 0, 1_200_000_000).otherwise(-700_000_000)).alias("first_us"), (F.col("last_us") + 5_400_000_000).alias("last_us"))
+    rows = found.withColumn("s", gaps.chain_stats(F.array(F.struct("first_us", "last_us"), second), F.col("open_us"), F.col("close_us"), HOUR))
+    rounded = ("coverage", "missing_before", "missing_after", "overhang_before", "overhang_after", "internal_gap_s", "overlap_s")
+    return rows.select("user_id", "chunk", "key", F.col("s.full").alias("full"), *[F.round(f"s.{c}", 6).alias(c) for c in rounded], "s.n_chunks")
+
+
+_LEAST, _NEAR = 0.3, 6 * HOUR
+_MATCHED_SQL = f"""RECURSIVE {_FILLS_SQL}, near AS (SELECT g.user_id, g.chunk AS gap_id, g.open_us, g.close_us, f.key, f.first_us, f.last_us FROM gaps g JOIN fills f ON f.user_id = g.user_id AND f.last_us > g.open_us - {_NEAR} AND f.first_us < g.close_us + {_NEAR} AND f.last_us > f.first_us),
+ chains AS (SELECT user_id, gap_id, open_us, close_us, [key] AS keys, first_us AS a, first_us AS la, last_us AS z, 0::BIGINT AS hole, 0::BIGINT AS lap FROM near
+  UNION ALL SELECT c.user_id, c.gap_id, c.open_us, c.close_us, list_append(c.keys, n.key), c.a, n.first_us, n.last_us, greatest(c.hole, n.first_us - c.z), c.lap + greatest(0, c.z - n.first_us)
+  FROM chains c JOIN near n ON n.user_id = c.user_id AND n.gap_id = c.gap_id AND n.first_us > c.la AND abs(n.first_us - c.z) <= {_NEAR} AND n.last_us > c.z WHERE c.z < c.close_us - {_NEAR}),
+ rated AS (SELECT *, CASE WHEN close_us > open_us THEN greatest(0.0, (least(z, close_us) - greatest(a, open_us))::DOUBLE / (close_us - open_us)) ELSE 1.0 END AS cov, greatest(0, a - open_us) AS mb, greatest(0, close_us - z) AS ma, greatest(0, open_us - a) AS ob, greatest(0, z - close_us) AS oa FROM chains),
+ told AS (SELECT *, cov >= 0.95 AND greatest(mb, ma, ob, oa) <= {_NEAR} AS whole FROM rated),
+ best AS (SELECT *, row_number() OVER (PARTITION BY user_id, gap_id ORDER BY whole DESC, round((ob + oa) / 1e6, 3), round((mb + ma) / 1e6, 3), round(hole / 1e6, 3), round((abs(a - open_us) + abs(z - close_us)) / 1e6, 3), len(keys), round(lap / 1e6, 3), -round(cov, 6), a, keys[1]) AS n FROM told WHERE whole OR cov >= {_LEAST}),
+ matched AS (SELECT g.user_id, g.chunk AS gap_id, g.open_us, g.close_us, b.keys, b.a, b.z, b.cov, NOT b.whole AS part FROM gaps g LEFT JOIN best b ON b.user_id = g.user_id AND b.gap_id = g.chunk AND b.n = 1)"""
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each gap with a pool of its own: all of its camera's spare fragments."""
     rows = _gaps(spark, sf_dir).select("user_id", F.col("chunk").alias("gap_id"), F.col("after_key").alias("after"), "open_us", "close_us", "gap_us")
-    return gaps.match_fillers(rows, _fills(spark, sf_dir), ["user_id"], gaps.GapConfig(tolerance_s=6 * 3600.0, least_coverage=0.3))
+    pools = gaps.interval_candidates(rows.select("user_id", "gap_id", "open_us", "close_us"), _fills(spark, sf_dir), ["user_id"], _NEAR, 24 * HOUR)
+    return gaps.match_fillers(rows, pools.select("user_id", "gap_id", "key", "first_us", "last_us"), ["user_id", "gap_id"], gaps.GapConfig(tolerance_s=_NEAR / 1e6, least_coverage=_LEAST))
 
 
-@query()
+def _duration_sql(us: str) -> str:
+    """A duration as the report has it, of microseconds that aren't negative."""
+    s = f"({us} / 1e6)"
+    h, m = f"CAST(floor({s} / 3600) AS BIGINT)", f"CAST(floor(({s} % 3600) / 60) AS BIGINT)"
+    return f"CASE WHEN {h} > 0 THEN printf('%dh %dm %.1fs', {h}, {m}, {s} % 60) WHEN {m} > 0 THEN printf('%dm %.1fs', {m}, {s} % 60) ELSE printf('%.3fs', {s}) END"
+
+
+_STATUS_SQL = f"""CASE WHEN keys IS NULL THEN 'UNFILLED' WHEN NOT part THEN 'FILLED' ELSE printf('PARTIAL (%.0f%% covered', 100 * cov) || CASE WHEN a - open_us > 1000000 OR close_us - z > 1000000 THEN '; still missing: ' || concat_ws(', ', CASE WHEN a - open_us > 1000000 THEN {_duration_sql("(a - open_us)")} || ' before' END, CASE WHEN close_us - z > 1000000 THEN {_duration_sql("(close_us - z)")} || ' after' END) ELSE '' END || ')' END"""
+
+
+@query(f"WITH {_MATCHED_SQL} SELECT user_id, gap_id, array_to_string(coalesce(keys, []), ' ') AS fillers, coalesce(part, false) AS partial, round(coalesce(cov, 0.0), 6) AS coverage, {_STATUS_SQL} AS status FROM matched")
 def gap_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best chain for each gap, spare fragments used once."""
+    """The best chain for each gap, of all that links allow."""
     rows = _matched(spark, sf_dir)
     first, last = F.array_min(F.transform("fillers", lambda f: f["first_us"])), F.array_max(F.transform("fillers", lambda f: f["last_us"]))
     status = T.gap_status(F.size("fillers"), F.col("partial"), F.col("coverage"), (first - F.col("open_us")) / 1e6, (F.col("close_us") - last) / 1e6)
-    return rows.select("user_id", "gap_id", F.transform("fillers", lambda f: f["key"]).alias("fillers"), "partial", F.round("coverage", 6).alias("coverage"), status.alias("status"))
+    return rows.select("user_id", "gap_id", F.array_join(F.transform("fillers", lambda f: f["key"]), " ").alias("fillers"), "partial", F.round("coverage", 6).alias("coverage"), status.alias("status"))
 
 
-@query()
+@query(f"""WITH {_MATCHED_SQL}, n AS (SELECT user_id, count(*)::BIGINT AS gaps, count(*) FILTER (keys IS NOT NULL AND NOT part)::BIGINT AS filled, count(*) FILTER (keys IS NOT NULL AND part)::BIGINT AS partial, count(*) FILTER (keys IS NULL)::BIGINT AS unfilled, coalesce(sum(len(keys)), 0)::BIGINT AS fillers_used FROM matched GROUP BY user_id)
+ SELECT *, CASE WHEN unfilled > 0 THEN 'INCOMPLETE' WHEN partial > 0 THEN 'PARTIAL' ELSE 'COMPLETE' END AS status FROM n""")
 def gap_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps by outcome, for each camera."""
     return gaps.gap_summary(_matched(spark, sf_dir), ["user_id"])

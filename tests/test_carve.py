@@ -99,3 +99,27 @@ def test_classify(spark):
     rows = spark.createDataFrame([([1, 5], None), ([1, 9], 5), ([9, 1], 5), ([], 5)], "t array<long>, b long").select(carve.classified(F.col("t"), F.col("b")).alias("c")).collect()
     assert [r["c"]["category"] for r in rows] == ["unclassified", "new", "old", "unknown"]
     assert spark.createDataFrame([([], 5)], "t array<long>, b long").select(carve.classified(F.col("t"), F.col("b"), False).alias("c")).first()["c"]["category"] == "old"
+
+
+def test_many_runs_in_one_image(spark, tmp_path):
+    data = (b"A" * 3 + b"\0" * 5) * 100_000
+    rows = carved(spark, tmp_path, data, zero_run=5, min_bytes=1, range_bytes=100_003)
+    assert rows == [(8 * i, 8 * i + 3) for i in range(100_000)]
+
+
+def test_parts_of_parts_are_split_as_a_loop_would():
+    rng = random.Random(5)
+    for _ in range(30):
+        n = rng.randint(3, 60)
+        pos = sorted(rng.sample(range(0, 5000, 20), n))
+        ts = [rng.choice([None, rng.randrange(10**8)]) for _ in pos]
+
+        def loop(lo, hi, pos=pos, ts=ts):
+            inside = [(p, t / 1e6) for p, t in zip(pos, ts, strict=True) if t is not None and p >= lo and p + carve.B.RECORD_SIZE <= hi]
+            best = max(((abs(b[1] - a[1]), -i) for i, (a, b) in enumerate(zip(inside, inside[1:], strict=False))), default=(0, 0))
+            if hi - lo <= 700 or len(inside) < 4 or best[0] < 2:
+                return [(lo, hi)]
+            place = inside[1 - best[1]][0]
+            return [*loop(lo, place), *loop(place, hi)] if lo < place < hi else [(lo, hi)]
+
+        assert carve.split_places(5100, pos, ts, 700, 2.0) == loop(0, 5100)

@@ -53,3 +53,10 @@ def test_workbook(spark, tmp_path):
     assert tables["gaps"].first()["status"] == "FILLED" and tables["merged"].count() == 3
     report.write_workbook(tables, str(tmp_path))
     assert spark.read.option("header", True).csv(f"{tmp_path}/summary").first()["status"] == "COMPLETE"
+
+
+def test_middle_seeks(spark):
+    rows = spark.createDataFrame([("hevc", 20.0), ("hevc", None), ("hevc", 0.0), ("h264", 20.0), ("h264", None), (None, None)], "codec string, duration double")
+    got = [r["s"] for r in rows.select(frames.middle_seeks(F.col("codec"), F.col("duration")).alias("s")).collect()]
+    late = [2.0, 3.0, 5.0, 8.0, 10.0, 15.0]
+    assert got == [[10.0, *late], late, late, [10.0, None, 1.0, 2.0], [None, 1.0, 2.0, 3.0], [None, 1.0, 2.0, 3.0]]

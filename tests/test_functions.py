@@ -66,6 +66,8 @@ def test_time_check(spark, off, word):
         ('{"rec_text": "x", "markdown": "x", "content": "y"}', ["x", "y"]),
         ('["p", {"text": "q"}, ["r"]]', ["p", "q", "r"]),
         ('"s"', ["s"]),
+        ('[[[[["deep", {"res": {"text": "deeper"}}]]]], " a\\t"]', ["deep", "deeper", "a"]),
+        ('{"res": ["x"]}', None),
         ("7", []),
         ("{", None),
         (None, None),
@@ -75,7 +77,7 @@ def test_overlay_texts(spark, result, texts):
     assert one(spark, result, "string", T.overlay_texts) == texts
 
 
-@pytest.mark.parametrize("value, text", [(' a/b:c*d ', "a_b_c_d"), ("", "unknown"), (None, "unknown"), ("a  b", "a_b")])
+@pytest.mark.parametrize("value, text", [("\ta b ", "a_b"), (' a/b:c*d ', "a_b_c_d"), ("", "unknown"), (None, "unknown"), ("a  b", "a_b")])
 def test_safe_name(spark, value, text):
     assert one(spark, value, "string", T.safe_name) == text
 
@@ -101,3 +103,8 @@ def test_file_seconds(spark):
     assert f("/a/chunk_4_2.dat") == 4.0
     assert f("/a/part 3 of 8.dat") == 8.0
     assert f("/a/none.dat") == 9.0
+
+
+def test_overlay_time_is_looked_for_in_what_was_read(spark):
+    assert one(spark, ["CAM01|2024/01/02 03:04:05"], "array<string>", lambda v: F.unix_seconds(T.overlay_time(v))) == 1704164645
+    assert one(spark, ["", "\t2024-01-02 ", "03:04:05"], "array<string>", lambda v: F.unix_seconds(T.overlay_time(v))) == 1704164645
