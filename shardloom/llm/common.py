@@ -13,7 +13,7 @@ from shardloom.session import discard, materialize, scratch_path, scratch_root,
 __all__ = ["connected_components", "crc_fold", "discard", "hot_join", "map_rows", "materialize", "scratch_path", "scratch_root", "ship", "table", "unused"]
 
 #: A join key is hot beyond this many rows; and at most HOT_KEYS keys are hot, so their list can be broadcast.
-HOT_ROWS, HOT_KEYS = 5_000, 500
+HOT_ROWS, HOT_KEYS = 1_000, 500
 
 
 def map_rows(df: DataFrame, columns: list[str], make: Callable[[], Callable], schema: str) -> DataFrame:
