@@ -1,4 +1,5 @@
 import random
+import uuid
 
 import corpus_pipeline
 from shardloom.llm.common import materialize, scratch_root
@@ -48,10 +49,11 @@ def test_different_texts_of_one_id_stay(spark):
 
 
 def test_secrets_of_earlier_runs_are_not_scanned_again(spark, monkeypatch):
-    monkeypatch.setattr(corpus_pipeline, "LEDGER", "shardloom/test-ledger", raising=False)
+    name = f"shardloom/test-ledger-{uuid.uuid4().hex}"  # a process may get the number, and so the folder, of an earlier one
+    monkeypatch.setattr(corpus_pipeline, "LEDGER", name)
     docs = spark.createDataFrame([(1, "my password=abcdefgh1"), (2, "clean"), (3, None)], "doc_id long, text string")
     want = [(1, "my [secret]"), (2, "clean"), (3, None)]
-    ledger = lambda: spark.read.parquet(f"{scratch_root(spark)}/shardloom/test-ledger").count()
+    ledger = lambda: spark.read.parquet(f"{scratch_root(spark)}/{name}").count()
     assert sorted(map(tuple, corpus_pipeline.without_secrets(spark, docs, "").collect())) == want and ledger() == 3
     more = docs.unionByName(spark.createDataFrame([(4, "token=zzzzzzzz9")], docs.schema))
     assert sorted(map(tuple, corpus_pipeline.without_secrets(spark, more, "").collect())) == [*want, (4, "[secret]")] and ledger() == 4

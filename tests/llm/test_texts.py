@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -342,7 +343,7 @@ def test_the_sample_of_a_language_is_the_one_with_the_least_hashes(spark):
 def test_a_second_query_scans_nothing_anew(spark, tmp_path, monkeypatch):
     from shardloom.llm import queries
 
-    monkeypatch.setattr(secrets, "LEDGER", f"shardloom/test-ledger-{rng.random()}")
+    monkeypatch.setattr(secrets, "LEDGER", f"shardloom/test-ledger-{uuid.uuid4().hex}")
     frame = spark.createDataFrame([(1, "password=abcdefgh1"), (2, "clean"), (3, None)], "doc_id long, text string")
     frame.write.parquet(f"{tmp_path}/documents.parquet")
     ledger = lambda: spark.read.parquet(f"{queries.scratch_root(spark)}/{secrets.LEDGER}").count()
