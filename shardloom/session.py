@@ -58,7 +58,7 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    root = f"/tmp/checkpoints/shardloom-{os.getpid()}"
+    root = f"/tmp/checkpoints/shardloom-{context.applicationId}"
     os.makedirs(root, exist_ok=True)
     return f"file://{root}"
 
