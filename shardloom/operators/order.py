@@ -28,12 +28,21 @@ def natural_order(rows: DataFrame, name: str, by: list[str] = ()) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy(*keys)).cast("long"))
 
 
-def unique_targets(plan: DataFrame) -> DataFrame:
-    """A plan in which every dst occurs once: the second of equal ones, by src, gets _2 before its suffix, and so on."""
+def unique_targets(plan: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """A plan in which every dst occurs once: the second of equal ones, by src, gets _2 before its suffix, and so on.
+    Names that existing (path) holds already are passed over, as if rows before had taken them."""
     n = F.row_number().over(Window.partitionBy("dst").orderBy("src"))
     folder = F.regexp_extract("dst", r"^(.*/)?[^/]*$", 1)
     renamed = F.concat(folder, T.stem_of(F.col("dst")), F.lit("_"), F.col("_n").cast("string"), T.suffix_of(F.col("dst")))
-    return plan.withColumn("_n", n).withColumn("dst", F.when(F.col("_n") == 1, F.col("dst")).otherwise(renamed)).drop("_n")
+    placed = plan.withColumn("_n", n)
+    if existing is not None:
+        there, stem = existing.select("path").distinct(), T.stem_of(F.col("path"))
+        number = F.nullif(F.regexp_extract(stem, r"_([1-9][0-9]{0,8})$", 1), F.lit("")).cast("int")
+        bare = F.concat(F.regexp_extract("path", r"^(.*/)?[^/]*$", 1), F.regexp_replace(stem, "_[0-9]+$", ""), T.suffix_of(F.col("path")))
+        held = there.select(F.col("path").alias("dst"), F.lit(1).alias("t")).unionByName(there.filter(number >= 2).select(bare.alias("dst"), number.alias("t")))
+        taken = held.join(plan.select("dst").distinct(), "dst", "left_semi").groupBy("dst").agg(F.array_sort(F.collect_list("t")).alias("_t"))
+        placed = placed.join(taken, "dst", "left").withColumn("_n", F.aggregate(F.coalesce("_t", F.array().cast("array<int>")), F.col("_n"), lambda m, t: F.when(t <= m, m + 1).otherwise(m))).drop("_t")
+    return placed.withColumn("dst", F.when(F.col("_n") == 1, F.col("dst")).otherwise(renamed)).drop("_n")
 
 
 def merged_plan(sequence: DataFrame, folder: str) -> DataFrame:
@@ -47,7 +56,8 @@ def cluster_plan(ordered: DataFrame, folder: str) -> DataFrame:
 
 
 def carry_out(plan: DataFrame, move: bool = False, overwrite: bool = False) -> None:
-    """Copy (or move) src to dst in the tasks that hold the rows; a dst that exists is left alone unless overwrite."""
+    """Copy (or move) src to dst in the tasks that hold the rows; a dst that exists is left alone unless overwrite, so
+    that a task can run again. unique_targets() with the files that exist gives each clip a name that is free."""
     ship(plan.sparkSession)
 
     def put(rows) -> None:

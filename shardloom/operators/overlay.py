@@ -38,7 +38,7 @@ def attribute(clips: DataFrame, readings: DataFrame) -> DataFrame:
     return joined.select(
         "path", "seq", F.when(detected & dated, F.col("label")).otherwise("unknown_channel").alias("channel"), "ocr_timestamp", "dat_us", F.coalesce("ocr_texts", F.array().cast("array<string>")).alias("ocr_texts"),
         detected.alias("ocr_detected"), dated.alias("datetime_detected"), (F.abs(F.col("dat_us") - overlay_us) / 1e6).alias("timestamp_diff_seconds"), T.time_check(F.col("dat_us"), overlay_us).alias("timestamp_check"),
-        F.coalesce("error", F.when(F.col("broken"), "the recognition result isn't JSON")).alias("error_msg"),
+        (F.col("frame_ok") if "frame_ok" in clips.columns else F.col("error").isNull()).alias("frame_ok"), F.coalesce("error", F.when(F.col("broken"), "the recognition result isn't JSON")).alias("error_msg"),
     ).withColumn("row_state", row_state())
 
 
@@ -78,6 +78,26 @@ def run_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
+#: Metrics of a run's summary, with the column of run_metrics() or the difference of two that each shows.
+METRICS = [
+    ("Total files processed", "total"),
+    ("Frames extracted OK", "frames"),
+    ("Frame extraction failed", "total - frames"),
+    ("OCR label detected", "labels"),
+    ("OCR label NOT detected", "total - labels"),
+    ("Detection rate", "detection_rate"),
+    ("OCR datetimes found", "times"),
+    ("OCR datetime missing", "total - times"),
+]
+
+
+def metric_rows(rows: DataFrame) -> DataFrame:
+    """place, metric, value of the eight metrics of a run, as its summary lists them."""
+    one = run_metrics(rows).join(rows.agg(F.count_if("frame_ok").alias("frames")))  # one row each
+    listed = F.array(*[F.struct(F.lit(name).alias("metric"), F.expr(value).cast("double").alias("value")) for name, value in METRICS])
+    return one.select(F.posexplode(listed).alias("place", "m")).select((F.col("place") + 1).alias("place"), "m.metric", "m.value")
+
+
 def read_with(frames: DataFrame, recognise: Callable, columns: list[str]) -> DataFrame:
     """Run an outside recognition function over batches of candidate images: recognise(pandas frame) -> JSON texts."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frames.schema.fields if f.name in columns)

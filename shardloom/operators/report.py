@@ -25,6 +25,30 @@ def codec_breakdown(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("codec").agg(F.count(F.lit(1)).alias("chunks"))
 
 
+def ocr_report(rows: DataFrame, plan: DataFrame | None = None, images: DataFrame | None = None) -> DataFrame:
+    """The eleven columns of the attribution report, by number. plan (src, dst) names the file that a clip became, images
+    (path, roi_path) the picture of its corner; both are empty without them."""
+    spark = rows.sparkSession
+    plan = plan if plan is not None else spark.createDataFrame([], "src string, dst string")
+    images = images if images is not None else spark.createDataFrame([], "path string, roi_path string")
+    stamp = lambda ts: F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm:ss 'UTC'"), F.lit(""))
+    told = rows.join(plan.select(F.col("src").alias("path"), "dst"), "path", "left").join(images, "path", "left")
+    columns = {  # fixed values: the report's headings
+        "No.": F.col("seq"),
+        "Filename": T.name_of(F.col("path")),
+        "Frame OK": F.when(F.col("frame_ok"), "Yes").otherwise("No"),
+        "OCR Channel": F.when(F.col("ocr_detected"), F.col("channel")).otherwise(""),
+        "OCR Datetime": stamp(F.col("ocr_timestamp")),
+        "DAT Reference UTC": stamp(F.timestamp_micros("dat_us")),
+        "DAT vs OCR Diff Sec": F.round("timestamp_diff_seconds", 3),
+        "Timestamp Check": F.col("timestamp_check"),
+        "Output File": F.coalesce("dst", F.lit("")),
+        "ROI Image Path": F.coalesce("roi_path", F.lit("")),
+        "Error": F.coalesce("error_msg", F.lit("")),
+    }
+    return told.orderBy("seq", "path").select(*[c.alias(f"{name}") for name, c in columns.items()])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -49,5 +73,5 @@ def gap_workbook(baseline: DataFrame, fills: DataFrame, matched: DataFrame, merg
 def write_workbook(tables: dict[str, DataFrame], folder: str) -> None:
     """A folder of CSV files for each table; nested columns as JSON."""
     for name, df in tables.items():
-        flat = [F.to_json(c).alias(c) if kind.startswith(("array", "struct", "map")) else F.col(c) for c, kind in df.dtypes]
+        flat = [F.to_json(f"`{c}`").alias(c) if kind.startswith(("array", "struct", "map")) else F.col(f"`{c}`") for c, kind in df.dtypes]
         write_csv(df.select(*flat), f"{folder}/{name}")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shardloom.functions import binary as B
 from shardloom.functions import text as T
-from shardloom.operators import carve, gaps, noise, order, overlay, similarity
+from shardloom.operators import carve, gaps, noise, order, overlay, report, similarity
 from shardloom.session import materialize, table
 from shardloom.sources import files
 
@@ -353,6 +353,25 @@ def order_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlay.order_plan(_attributed(spark, sf_dir), "/out")
 
 
+_METRIC_VALUES = ["count(*)", "count(*)", "count(*) - count(*)", "count(label)", "count(*) - count(label)", "round(count(label) / count(*), 6)", "count(sec)", "count(*) - count(sec)"]
+
+
+@query(f"WITH {_ATTRIBUTED_SQL} " + " UNION ALL ".join(f"SELECT {i}::INT AS place, '{name}' AS metric, ({value})::DOUBLE AS value FROM ch" for i, ((name, _), value) in enumerate(zip(overlay.METRICS, _METRIC_VALUES, strict=True), 1)))
+def ocr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the eight metrics of a run's summary."""
+    return overlay.metric_rows(_attributed(spark, sf_dir)).withColumn("value", F.round("value", 6))
+
+
+@query(f"""WITH {_ATTRIBUTED_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY CASE WHEN channel = 'unknown_channel' THEN seq ELSE sec END NULLS LAST, seq) AS n FROM ch)
+ SELECT seq AS "No.", printf('clip_%d.dat', seq) AS "Filename", 'Yes' AS "Frame OK", CASE WHEN label IS NULL THEN '' ELSE channel END AS "OCR Channel", CASE WHEN sec IS NULL THEN '' ELSE strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S UTC') END AS "OCR Datetime",
+ strftime(make_timestamp(us // 1000000 * 1000000), '%Y-%m-%d %H:%M:%S UTC') AS "DAT Reference UTC", round((us - sec * 1000000) / 1e6, 3) AS "DAT vs OCR Diff Sec", CASE WHEN sec IS NULL THEN '{T.CHECKS["record"]}' ELSE '{T.CHECKS["pass"]}' END AS "Timestamp Check",
+ '/out/' || channel || '/' || CASE WHEN n > 9999 THEN n::VARCHAR ELSE lpad(n::VARCHAR, 4, '0') END || printf('_clip_%d.dat', seq) AS "Output File", '' AS "ROI Image Path", '' AS "Error" FROM o""")
+def ocr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the attribution report with the files that clips become."""
+    rows = materialize(_attributed(spark, sf_dir), "attributed")
+    return report.ocr_report(rows, overlay.order_plan(rows, "/out"))
+
+
 # ---- names
 
 

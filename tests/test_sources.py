@@ -86,3 +86,16 @@ def test_reports(spark, tmp_path):
 def test_seek_plan(spark):
     rows = spark.createDataFrame([("hevc", 100.0), ("hevc", None), ("h264", 100.0), ("h264", None)], "c string, d double").select(noise.seek_plan(F.col("c"), F.col("d"), 3).alias("p")).collect()
     assert [r["p"] for r in rows] == [[2.0, 48.5, 95.0], [2.0, 3.0, 5.0], [0.0, 47.5, 95.0], []]
+
+
+def test_empty_files_count(spark, tmp_path):
+    for name, content in (("a b+%.dat", b""), ("c.DAT", b"x"), ("d.txt", b""), ("e.mp4", b"")):
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "f.dat").write_bytes(b"")
+    named = lambda df: {r["path"].rpartition("/")[2]: r["length"] for r in df.select("path", "length").collect()}
+    assert named(files.dat_files(spark, str(tmp_path))) == {"a b+%.dat": 0, "c.DAT": 1}
+    assert named(files.dat_files(spark, str(tmp_path), recursive=True, any_case=False)) == {"a b+%.dat": 0, "f.dat": 0}
+    assert named(files.video_files(spark, str(tmp_path))) == {"a b+%.dat": 0, "c.DAT": 1, "e.mp4": 0}
+    times = {r["name"]: (r["ts_ok"], r["ts_method"], r["duration_s"]) for r in files.clip_times(files.dat_files(spark, str(tmp_path))).collect()}
+    assert times == {"a b+%.dat": (False, "none", 0.0), "c.DAT": (False, "none", 0.0)}
