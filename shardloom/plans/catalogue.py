@@ -363,13 +363,14 @@ def ocr_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_ATTRIBUTED_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY CASE WHEN channel = 'unknown_channel' THEN seq ELSE sec END NULLS LAST, seq) AS n FROM ch)
- SELECT seq AS "No.", printf('clip_%d.dat', seq) AS "Filename", 'Yes' AS "Frame OK", CASE WHEN label IS NULL THEN '' ELSE channel END AS "OCR Channel", CASE WHEN sec IS NULL THEN '' ELSE strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S UTC') END AS "OCR Datetime",
- strftime(make_timestamp(us // 1000000 * 1000000), '%Y-%m-%d %H:%M:%S UTC') AS "DAT Reference UTC", round((us - sec * 1000000) / 1e6, 3) AS "DAT vs OCR Diff Sec", CASE WHEN sec IS NULL THEN '{T.CHECKS["record"]}' ELSE '{T.CHECKS["pass"]}' END AS "Timestamp Check",
- '/out/' || channel || '/' || CASE WHEN n > 9999 THEN n::VARCHAR ELSE lpad(n::VARCHAR, 4, '0') END || printf('_clip_%d.dat', seq) AS "Output File", '' AS "ROI Image Path", '' AS "Error" FROM o""")
+ SELECT seq AS number, printf('clip_%d.dat', seq) AS filename, 'Yes' AS frame_ok, CASE WHEN label IS NULL THEN '' ELSE channel END AS ocr_channel, CASE WHEN sec IS NULL THEN '' ELSE strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %H:%M:%S UTC') END AS ocr_datetime,
+ strftime(make_timestamp(us // 1000000 * 1000000), '%Y-%m-%d %H:%M:%S UTC') AS dat_reference, round((us - sec * 1000000) / 1e6, 3) AS diff_s, CASE WHEN sec IS NULL THEN '{T.CHECKS["record"]}' ELSE '{T.CHECKS["pass"]}' END AS timestamp_check,
+ '/out/' || channel || '/' || CASE WHEN n > 9999 THEN n::VARCHAR ELSE lpad(n::VARCHAR, 4, '0') END || printf('_clip_%d.dat', seq) AS output_file, '' AS roi_image, '' AS error FROM o""")
 def ocr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: the attribution report with the files that clips become."""
     rows = materialize(_attributed(spark, sf_dir), "attributed")
-    return report.ocr_report(rows, overlay.order_plan(rows, "/out"))
+    names = ["number", "filename", "frame_ok", "ocr_channel", "ocr_datetime", "dat_reference", "diff_s", "timestamp_check", "output_file", "roi_image", "error"]
+    return report.ocr_report(rows, overlay.order_plan(rows, "/out")).toDF(*names)
 
 
 # ---- names
